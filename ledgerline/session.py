@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for name, value in conf.items():

@@ -1,0 +1,54 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import frame
+from ledgerline.functions import add_months_overflow, iso_date, slashed_date, surrogate_key
+from ledgerline.operators.spine import date_spine, date_spine_over
+
+
+def one(df):
+    return [row[0] for row in df.collect()]
+
+
+def test_iso_date_takes_only_whole_dates(spark):
+    texts = ["2024-01-05", "2024-01-05 10:30:00", "2024-1-5", "2024", "2024-02-30", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert one(df.select(iso_date(F.col("t")))) == [dt.date(2024, 1, 5)] * 2 + [None] * 6
+
+
+def test_slashed_date(spark):
+    df = spark.createDataFrame([("13/01/2024",), ("31/02/2024",), ("",), (None,)], "t string")
+    assert one(df.select(slashed_date(F.col("t")))) == [dt.date(2024, 1, 13), None, None, None]
+
+
+def test_months_run_over_unless_clamped(spark):
+    rows = [{"d": "2024-01-31", "n": 1}, {"d": "2023-01-31", "n": 1}, {"d": "2024-02-29", "n": 12}]
+    df = frame(spark, "d date, n int", rows)
+    over = one(df.select(add_months_overflow(F.col("d"), F.col("n"))))
+    clamped = one(df.select(add_months_overflow(F.col("d"), F.col("n"), clamp=True)))
+    assert over == [dt.date(2024, 3, 2), dt.date(2023, 3, 3), dt.date(2025, 3, 1)]
+    assert clamped == [dt.date(2024, 2, 29), dt.date(2023, 2, 28), dt.date(2025, 2, 28)]
+
+
+def test_surrogate_key_tells_nulls_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "b")], "x string, y string")
+    keys = one(df.select(surrogate_key("x", "y")))
+    assert len(set(keys)) == 3 and keys[2] == "a-b"
+    hashed = one(df.select(surrogate_key("x", "y", hashed=True)))
+    assert len(set(hashed)) == 3 and all(len(key) == 32 for key in hashed)
+
+
+def test_date_spine(spark):
+    rows = date_spine(spark, "2024-02-28", "2024-03-02").collect()
+    assert [r.date_day for r in rows] == [
+        dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2024, 3, 1)
+    ]
+    assert rows[0].month_start_date == dt.date(2024, 2, 1)
+    assert rows[0].month_end_date == dt.date(2024, 2, 29)
+    assert date_spine(spark, "2024-01-01", "2024-01-01").count() == 0
+
+
+def test_date_spine_over_covers_whole_months(spark):
+    df = frame(spark, "d date", [{"d": "2024-01-20"}, {"d": "2024-02-02"}, {}])
+    assert date_spine_over(df, "d").count() == 31 + 29
