@@ -6,16 +6,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def flag_later_in_group(
-    rows: DataFrame, *, group: str, order: list[str], row_id: str, where: Column, flag: str
+    rows: DataFrame,
+    *,
+    group: str,
+    order: list[str],
+    row_id: str,
+    where: Column,
+    flag: str,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``flag``: 1 on every row of ``where`` but the first of its group, else 0.
+    Groups are those of ``among``, of which ``rows`` may be a part.
 
     The first row is found by an aggregate, which combines before its shuffle, and is
     handed back by row id. A group of any size, or the group of rows without a group
     key, so never meets in one task, as it would in a window by group.
     """
     first = (
-        rows.where(where)
+        (rows if among is None else among)
+        .where(where)
         .groupBy(group)
         .agg(F.min(F.struct(*order, row_id)).alias("first"))
         .groupBy(F.col(f"first.{row_id}").alias(row_id))

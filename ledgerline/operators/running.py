@@ -104,47 +104,60 @@ def first_crossing(
     threshold: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Per key the places (day, id) of two rows: ``crossing``, where the running sum of
-    ``value`` first reaches ``threshold``, and ``first_value``, the first with a value.
+    """Per key two places (day, id): ``crossing``, the row at which the running sum of
+    ``value`` first reaches ``threshold``, and ``first_value``, from which on it has one.
 
     Only days on which the sum may reach the threshold for the first time are looked
     into: those that reach it counting their positive values alone, up to the first day
     that ends at or above it. ``ledger`` is read several times and should be a cut table.
     """
     by_day = Window.partitionBy(key).orderBy(day)
+    by_key = Window.partitionBy(key)
     days = (
         ledger.groupBy(key, day)
         .agg(
             F.sum(value).alias("net"),
             F.sum(F.greatest(F.col(value), F.lit(0))).alias("up"),
             F.min(threshold).alias("least"),
-            F.min(F.when(F.col(value).isNotNull(), F.col(row_id))).alias("first_id"),
+            F.count(value).alias("values"),
+            F.count(F.lit(1)).alias("rows"),
             _hot_width(row_id, hot_rows).alias("_width"),
         )
-        .withColumn(
-            "opening", F.sum("net").over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+        .select(
+            "*",
+            F.sum("net")
+            .over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("opening"),
+            F.min(F.when(F.col("values") > 0, F.col(day))).over(by_key).alias("first_day"),
         )
     )
     closes_above = add_totals(F.col("opening"), F.col("net")) >= F.col("least")
-    settled = F.min(F.when(closes_above, F.col(day))).over(Window.partitionBy(key))
+    settled = F.min(F.when(closes_above, F.col(day))).over(by_key)
+    reaches = (add_totals(F.col("opening"), F.col("up")) >= F.col("least")) & (
+        F.col("settled").isNull() | (F.col(day) <= F.col("settled"))
+    )
+    # the first day with a value is looked into only if it also has rows without one
+    is_first = F.col(day) == F.col("first_day")
     candidates = (
         days.withColumn("settled", settled)
-        .where(add_totals(F.col("opening"), F.col("up")) >= F.col("least"))
-        .where(F.col("settled").isNull() | (F.col(day) <= F.col("settled")))
-        .select(key, day, "opening", "_width")
+        .where(reaches | (is_first & (F.col("values") < F.col("rows"))))
+        .select(key, day, "opening", "first_day", "_width")
     )
     rows = ledger.join(candidates, [key, day]).withColumn("_block", _block(F.col("_width"), row_id))
     within = _running_in_blocks(
         rows, rows.where(F.col("_block") != ""), [key, day], [], row_id, value, "within"
     )
-    crossing = (
-        within.where(add_totals(F.col("opening"), F.col("within")) >= F.col(threshold))
-        .groupBy(key)
-        .agg(F.min(place(F.col(day), F.col(row_id))).alias("crossing"))
+    total = add_totals(F.col("opening"), F.col("within"))
+    here = place(F.col(day), F.col(row_id))
+    found = within.groupBy(key).agg(
+        F.min(F.when(total >= F.col(threshold), here)).alias("crossing"),
+        F.min(F.when(is_first & F.col(value).isNotNull(), here)).alias("first_found"),
+    )
+    starts = days.groupBy(key).agg(F.min("first_day").alias("first_day"))
+    any_id = F.when(F.col("first_day").isNotNull(), place(F.col("first_day"), F.lit("")))
+    return starts.join(found, key, "left").select(
+        key, "crossing", F.coalesce("first_found", any_id).alias("first_value")
     )
-    first_place = F.when(F.col("first_id").isNotNull(), place(F.col(day), F.col("first_id")))
-    starts = days.groupBy(key).agg(F.min(first_place).alias("first_value"))
-    return starts.join(crossing, key, "left")
 
 
 def place(day: Column, row_id: Column) -> Column:

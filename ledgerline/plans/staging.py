@@ -22,10 +22,13 @@ def stage_transactions(raw: DataFrame) -> DataFrame:
     )
 
 
-def flag_duplicate_refunds(transactions: DataFrame) -> DataFrame:
+def flag_duplicate_refunds(
+    transactions: DataFrame, among: DataFrame | None = None
+) -> DataFrame:
     """Add ``is_duplicate_refund``: 1 on every refund of a payment but its first one, by
     date and then id. Refunds are always in full, so a second one cannot be genuine. No
-    row is dropped. Ids are taken to be unique: copies of a row get the same flag."""
+    row is dropped. Ids are taken to be unique: copies of a row get the same flag. If
+    ``transactions`` is only a part of all, pass all of them as ``among``."""
     return flag_later_in_group(
         transactions,
         group="linked_transaction_id",
@@ -33,6 +36,7 @@ def flag_duplicate_refunds(transactions: DataFrame) -> DataFrame:
         row_id="transaction_id",
         where=F.col("transaction_type") == "refund",
         flag="is_duplicate_refund",
+        among=among,
     )
 
 

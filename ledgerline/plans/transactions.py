@@ -228,9 +228,9 @@ def apply_windows(converted: DataFrame, windows: DataFrame) -> DataFrame:
 
 def spend_ledger(converted: DataFrame, windows: DataFrame) -> DataFrame:
     """The rows of contracted clients, cut to what a running total needs."""
-    contracted = windows.select("client_id")
     return (
-        apply_windows(converted.join(contracted, "client_id", "left_semi"), windows)
+        apply_windows(converted, windows.withColumn("has_contract", F.lit(True)))
+        .where(F.col("has_contract"))
         .where(F.col("spend_effective_date").isNotNull())
         .select(
             "client_id",
@@ -326,17 +326,19 @@ def fct_transactions(inputs: Inputs, hot_rows: int = HOT_ROWS) -> DataFrame:
     Equal to ``price_revenue(contract_spend(...))``, without the running total of every
     row and with one lookup per refund for both its payment's date and its margin.
     """
-    transactions = flag_duplicate_refunds(stage_transactions(inputs.transactions))
+    transactions = stage_transactions(inputs.transactions)
     resolutions = stage_resolutions(inputs.resolutions)
     windows = contract_windows(stage_contracts(inputs.contracts))
     daily = daily_rates(stage_rates(inputs.rates))
     payments = cut(linked_payments(transactions, resolutions), "linked-payments")
 
-    def converted(known_payments: DataFrame) -> DataFrame:
-        rows = classify(transactions, resolutions, inputs.types, known_payments)
-        return convert_to_gbp(rows, daily)
+    def converted(rows: DataFrame, known_payments: DataFrame) -> DataFrame:
+        flagged = flag_duplicate_refunds(rows, among=transactions)
+        return convert_to_gbp(classify(flagged, resolutions, inputs.types, known_payments), daily)
 
-    ledger = cut(spend_ledger(converted(payments), windows), "spend-ledger")
+    # clients without a contract are left out before anything is shuffled
+    contracted = transactions.join(windows.select("client_id"), "client_id", "left_semi")
+    ledger = cut(spend_ledger(converted(contracted, payments), windows), "spend-ledger")
     terms = cut(contract_terms(windows, ledger, hot_rows), "contract-terms")
     in_period = _in_window("transaction_date")
     margins = payments.join(terms, "client_id", "left").select(
@@ -344,4 +346,4 @@ def fct_transactions(inputs: Inputs, hot_rows: int = HOT_ROWS) -> DataFrame:
         "transaction_date",
         _own_margin(in_period, _discount_earned(in_period)).alias("own_fee_margin"),
     )
-    return price_revenue(apply_terms(converted(margins), terms))
+    return price_revenue(apply_terms(converted(transactions, margins), terms))

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.cuts import cut
+
 
 def _scope(df: DataFrame, where: str | None) -> DataFrame:
     return df if where is None else df.where(where)
@@ -111,9 +113,10 @@ def relationships(
     parent_where: str | None = None,
 ) -> DataFrame:
     """The rows whose value is absent in the parent's field; ``parent_where`` limits the
-    parent rows that count."""
+    parent rows that count. The absent values are written first: they are few as a rule,
+    and Spark then sees that ``df`` need not be shuffled to find its rows with them."""
     missing = missing_values(df, column, parent, field, where, parent_where)
-    return _scope(df, where).join(missing.select(column), column, "left_semi")
+    return _scope(df, where).join(cut(missing.select(column), "missing"), column, "left_semi")
 
 
 def equal_rowcount(df: DataFrame, other: DataFrame) -> DataFrame:
