@@ -10,11 +10,15 @@ from .cuts import cut
 def value_periods(values: DataFrame, key: str, day: str, value: str) -> DataFrame:
     """Each value with the day its successor takes over, NULL for the last one.
 
-    Of several values on one day the highest counts; the others get an empty period.
+    Of several values on one day the highest counts, so a key has as many rows as the
+    calendar has days, however often values are delivered.
     """
-    successor = Window.partitionBy(key).orderBy(day, value)
-    return values.where(F.col(day).isNotNull()).select(
-        key, day, value, F.lead(day).over(successor).alias("next_day")
+    successor = Window.partitionBy(key).orderBy(day)
+    return (
+        values.where(F.col(day).isNotNull())
+        .groupBy(key, day)
+        .agg(F.max(value).alias(value))
+        .withColumn("next_day", F.lead(day).over(successor))
     )
 
 
@@ -25,9 +29,9 @@ def daily_values(values: DataFrame, key: str, day: str, value: str) -> DataFrame
     look values up.
     """
     last_day = values.agg(F.max(day)).scalar()
-    first, until = F.col(day), F.date_sub(F.coalesce("next_day", F.date_add(last_day, 1)), 1)
+    until = F.date_sub(F.coalesce("next_day", F.date_add(last_day, 1)), 1)
     return value_periods(values, key, day, value).select(
-        key, F.explode(F.when(first <= until, F.sequence(first, until))).alias(day), value
+        key, F.explode(F.sequence(F.col(day), until)).alias(day), value
     )
 
 

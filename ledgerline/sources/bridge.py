@@ -164,11 +164,18 @@ def bridge(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Inputs:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A file of a single row group is read by one task; give every core a part of what
+    comes of it. Data with enough parts, as on a cluster, stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def land(inputs: Inputs) -> Inputs:
     """Load the derived tables once, as raw tables that every step then reads."""
     return Inputs(
-        transactions=cut(inputs.transactions, "transactions"),
-        resolutions=cut(inputs.resolutions, "resolutions"),
+        transactions=cut(_spread(inputs.transactions), "transactions"),
+        resolutions=cut(_spread(inputs.resolutions), "resolutions"),
         rates=cut(inputs.rates, "rates"),
         contracts=cut(inputs.contracts, "contracts"),
         types=inputs.types,

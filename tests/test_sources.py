@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from ledgerline import schemas
+from ledgerline.operators.cuts import cut, scratch_root
+from ledgerline.plans.monthly import client_monthly_revenue
+from ledgerline.sources import tables as so
+from ledgerline.sources.bridge import bridge
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_raw_tables_survive_a_round_trip(spark, tmp_path, fmt):
+    inputs = bridge(spark, TESTDATA)
+    for name, df, read in [
+        ("transactions", inputs.transactions, so.read_transactions),
+        ("resolutions", inputs.resolutions, so.read_resolutions),
+        ("rates", inputs.rates, so.read_rates),
+        ("contracts", inputs.contracts, so.read_contracts),
+        ("types", inputs.types, so.read_transaction_types),
+    ]:
+        path = str(tmp_path / name)
+        writer = df.write.option("header", True) if fmt == "csv" else df.write
+        getattr(writer, fmt)(path)
+        back = read(spark, path, fmt)
+        blank = [F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" else F.col(c)
+                 for c, t in back.dtypes]
+        assert back.select(*blank).exceptAll(df.select(*blank)).count() == 0
+        assert back.count() == df.count()
+
+
+def test_text_dates_are_not_parsed_on_reading(spark, tmp_path):
+    (tmp_path / "res.csv").write_text(
+        "transaction_id,resolution_status,resolution_date\nT1,resolved,13/01/2024\nT2,pending,\n"
+    )
+    rows = so.read_resolutions(spark, str(tmp_path / "res.csv"), "csv").collect()
+    assert [r.resolution_date for r in rows] == ["13/01/2024", None]
+
+
+def test_built_in_rules(spark):
+    rules = so.transaction_types(spark)
+    assert rules.schema.names == schemas.TRANSACTION_TYPES.names
+    assert rules.where("transaction_type = 'chargeback'").first()[1:] == (-1, 1, 1, 1)
+
+
+def test_marts_are_rebuilt_by_month(spark, tmp_path):
+    df = spark.range(100).selectExpr(
+        "id", "date_add(date'2024-01-01', cast(id % 60 as int)) d"
+    ).selectExpr("trunc(d, 'month') month_start_date", "id")
+    path = str(tmp_path / "mart")
+    for _ in range(2):  # a second build replaces the first
+        back = so.write_mart(df, path, "month_start_date")
+    assert back.columns == df.columns and back.exceptAll(df).count() == 0 and back.count() == 100
+    assert len(list((tmp_path / "mart").glob("month_start_date=*"))) == 2
+
+
+def test_additivity_survives_the_table(spark, tmp_path):
+    from conftest import FACT, WINDOWS, frame
+    from ledgerline.operators.spine import date_spine
+
+    monthly = client_monthly_revenue(
+        frame(spark, FACT, []), date_spine(spark, "2024-01-01", "2024-02-01"), frame(spark, WINDOWS, [])
+    )
+    back = so.write_mart(monthly, str(tmp_path / "m"))
+    assert back.count() == 0
+    for name, kind in schemas.ADDITIVITY.items():
+        assert back.schema[name].metadata == {"additivity": kind}
+
+
+def test_cut_tables_lie_in_the_sessions_folder(spark):
+    df = cut(spark.range(10), "ten")
+    assert df.count() == 10
+    assert all(scratch_root(spark) in path for path in df.inputFiles())
