@@ -161,6 +161,8 @@ def monthly_activity(fct: DataFrame) -> DataFrame:
         "pending_change_gbp": F.sum(pending),
         "pending_change_count": F.count(in_month("_pending_from", F.lit(1)))
         - F.count(in_month("_pending_until", F.lit(1))),
+        "pending_valued_count": F.count(in_month("_pending_from", gross))
+        - F.count(in_month("_pending_until", gross)),
         "discount_earned_date": F.min(
             F.when(F.col("is_discount_earned") == 1, F.col("spend_effective_date"))
         ),
@@ -181,25 +183,29 @@ FLOWS = [
     "originated_revenue_gbp",
     "monthly_contract_spend_gbp",
 ]
-CHANGES = ["pending_change_gbp", "pending_change_count"]
+CHANGES = ["pending_change_gbp", "pending_change_count", "pending_valued_count"]
 
 
-def _dense(activity: DataFrame, dates: DataFrame) -> DataFrame:
-    """Activity of every client in every covered month, with running totals.
-
-    Each row of a client with activity also fills the months up to its next one, so the
-    rows shuffled are those with activity, once, by client. A client has as many as the
-    calendar has months. The spine is taken to have no gaps.
-    """
+def _span(activity: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row: the first and last month of the spine the data covers, and its last day."""
     coverage = activity.agg(
         F.min("data_start_date").alias("data_start_date"),
         F.max("data_end_date").alias("data_end_date"),
     )
-    span = reporting_months(dates, coverage).agg(
+    return reporting_months(dates, coverage).agg(
         F.min("month_start_date").alias("first_month"),
         F.max("month_start_date").alias("last_month"),
         F.max("data_end_date").alias("data_end_date"),
     )
+
+
+def _dense(activity: DataFrame, span: DataFrame, flows: list[str]) -> DataFrame:
+    """Activity of every client in every month of the span, with running totals.
+
+    Each row of a client with activity also fills the months up to its next one, so the
+    rows shuffled are those with activity, once, by client. A client has as many as the
+    calendar has months. The spine is taken to have no gaps.
+    """
     month, first, last = (F.col(c) for c in ("month_start_date", "first_month", "last_month"))
     covered = month.between(first, last)
     # Activity outside the months reported only shows that the client exists, but what
@@ -211,7 +217,7 @@ def _dense(activity: DataFrame, dates: DataFrame) -> DataFrame:
         .select(
             "client_id",
             F.when(covered, month).otherwise(first).alias("month_start_date"),
-            *(F.when(covered, F.col(c)).alias(c) for c in FLOWS),
+            *(F.when(covered, F.col(c)).alias(c) for c in flows),
             *(F.when(covered | (month < first), F.col(c)).alias(c) for c in CHANGES),
             "discount_earned_date",
             "first_month",
@@ -221,7 +227,7 @@ def _dense(activity: DataFrame, dates: DataFrame) -> DataFrame:
         .repartition("client_id")
         .groupBy("client_id", "month_start_date", "first_month", "last_month", "data_end_date")
         .agg(
-            *(F.sum(c).alias(c) for c in [*FLOWS, *CHANGES]),
+            *(F.sum(c).alias(c) for c in [*flows, *CHANGES]),
             F.min("discount_earned_date").alias("discount_earned_date"),
         )
     )
@@ -243,7 +249,7 @@ def _dense(activity: DataFrame, dates: DataFrame) -> DataFrame:
         F.explode(F.sequence("fill_from", "fill_to", F.expr("INTERVAL 1 MONTH"))).alias(
             "month_start_date"
         ),
-        *FLOWS,
+        *flows,
         *CHANGES,
     )
     active = F.col("active_month") == month
@@ -253,23 +259,42 @@ def _dense(activity: DataFrame, dates: DataFrame) -> DataFrame:
         F.last_day("month_start_date").alias("month_end_date"),
         "data_end_date",
         "first_discount_date",
-        *(F.coalesce(F.when(active, F.col(c)), F.lit(0)).alias(c) for c in [*FLOWS, *CHANGES]),
+        *(F.coalesce(F.when(active, F.col(c)), F.lit(0)).alias(c) for c in [*flows, *CHANGES]),
     )
+    totals = {
+        "pending_change_gbp": "pending_chargebacks_gbp",
+        "pending_change_count": "pending_count",
+        "pending_valued_count": "valued_count",
+        "monthly_contract_spend_gbp": "cumulative_contract_spend_gbp",
+    }
     return rows.select(
         "*",
-        F.sum("pending_change_gbp").over(so_far).alias("pending_chargebacks_gbp"),
-        F.sum("pending_change_count").over(so_far).alias("pending_count"),
-        F.sum("monthly_contract_spend_gbp").over(so_far).alias("cumulative_contract_spend_gbp"),
+        *(F.sum(c).over(so_far).alias(name) for c, name in totals.items() if c in rows.columns),
     )
 
 
 def pending_at_month_end(fct: DataFrame, dates: DataFrame) -> DataFrame:
     """Gross amount of the chargebacks that had happened by a month's end and were not
     resolved by then, for the client-months that have any."""
-    activity = cut(monthly_activity(fct), "monthly-activity")
+    activity = cut(
+        monthly_activity(fct).select(
+            "client_id",
+            "month_start_date",
+            *CHANGES,
+            "discount_earned_date",
+            "data_start_date",
+            "data_end_date",
+        ),
+        "pending-activity",
+    )
+    changed = F.greatest(*(F.abs(F.col(c)) for c in CHANGES)) != 0
     return (
-        _dense(activity, dates)
+        _dense(activity.where(changed), _span(activity, dates), [])
         .where(F.col("pending_count") > 0)
+        .withColumn(
+            "pending_chargebacks_gbp",
+            F.when(F.col("valued_count") > 0, F.col("pending_chargebacks_gbp")),
+        )
         .select("client_id", "month_start_date", "pending_chargebacks_gbp")
     )
 
@@ -281,7 +306,7 @@ def client_monthly_revenue(fct: DataFrame, dates: DataFrame, windows: DataFrame)
     contracts = windows.select(
         "client_id", "contract_start_date", "contract_end_date", "spend_threshold"
     ).withColumn("has_contract", F.lit(True))
-    rows = _dense(activity, dates).join(contracts, "client_id", "left")
+    rows = _dense(activity, _span(activity, dates), FLOWS).join(contracts, "client_id", "left")
 
     contracted = F.col("has_contract").isNotNull()
     month_end, earned = F.col("month_end_date"), F.col("first_discount_date")

@@ -122,6 +122,7 @@ def test_pending_over_months_and_clients_without_activity(spark):
     assert {(r.client_id, str(r.month_start_date)[:7]) for r in rows} == {
         *(("A", f"2024-0{n}") for n in range(1, 6)), ("B", "2024-05")
     }
+    assert [r.pending_chargebacks_gbp for r in rows if r.client_id == "B"] == [None]  # no rate
 
 
 def test_spine_that_starts_after_the_data(spark):
