@@ -74,11 +74,14 @@ def running_total(
     row_id: str,
     value: str,
     out: str,
+    counted: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``, the running sum of ``value`` per ``key`` in the order (day, id).
 
-    ``ledger`` holds the same rows, cut to the columns named here. Days must not be NULL.
+    ``ledger`` holds the same rows, cut to the columns named here. Rows that are not
+    ``counted`` have no value and are not in it; each is a block of its own, so they may
+    be as many as they like. Days of counted rows must not be NULL.
     """
     hot = (
         ledger.groupBy(key, day)
@@ -86,12 +89,16 @@ def running_total(
         .where(F.col("_width").isNotNull())
     )
 
-    def blocked(df: DataFrame) -> DataFrame:
+    def blocked(df: DataFrame, alone: Column) -> DataFrame:
         # at most one row per hot_rows rows of the ledger: a million for 10**12 rows
         marked = df.join(F.broadcast(hot), [key, day], "left")
-        return marked.withColumn("_block", _block(F.col("_width"), row_id)).drop("_width")
+        block = F.when(alone, F.col(row_id)).otherwise(_block(F.col("_width"), row_id))
+        return marked.withColumn("_block", block).drop("_width")
 
-    return _running_in_blocks(blocked(rows), blocked(ledger), [key], [day], row_id, value, out)
+    alone = F.lit(False) if counted is None else ~counted
+    return _running_in_blocks(
+        blocked(rows, alone), blocked(ledger, F.lit(False)), [key], [day], row_id, value, out
+    )
 
 
 def first_crossing(
@@ -104,12 +111,14 @@ def first_crossing(
     threshold: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Per key two places (day, id): ``crossing``, the row at which the running sum of
-    ``value`` first reaches ``threshold``, and ``first_value``, from which on it has one.
-
-    Only days on which the sum may reach the threshold for the first time are looked
-    into: those that reach it counting their positive values alone, up to the first day
-    that ends at or above it. ``ledger`` is read several times and should be a cut table.
+    """Per key with any value the places (day, id) of two rows: ``first_value``, the first
+    one with a value, and ``crossing``, at which the running sum of ``value`` first
+    reaches ``threshold``.
+
+    Besides a key's first day only those are looked into on which the sum may reach the
+    threshold for the first time: they reach it counting their positive values alone, and
+    no day before ends at or above it. ``ledger`` is read several times and should be a
+    cut table.
     """
     by_day = Window.partitionBy(key).orderBy(day)
     by_key = Window.partitionBy(key)
@@ -119,8 +128,6 @@ def first_crossing(
             F.sum(value).alias("net"),
             F.sum(F.greatest(F.col(value), F.lit(0))).alias("up"),
             F.min(threshold).alias("least"),
-            F.count(value).alias("values"),
-            F.count(F.lit(1)).alias("rows"),
             _hot_width(row_id, hot_rows).alias("_width"),
         )
         .select(
@@ -128,7 +135,7 @@ def first_crossing(
             F.sum("net")
             .over(by_day.rowsBetween(Window.unboundedPreceding, -1))
             .alias("opening"),
-            F.min(F.when(F.col("values") > 0, F.col(day))).over(by_key).alias("first_day"),
+            F.min(F.when(F.col("net").isNotNull(), F.col(day))).over(by_key).alias("first_day"),
         )
     )
     closes_above = add_totals(F.col("opening"), F.col("net")) >= F.col("least")
@@ -136,11 +143,10 @@ def first_crossing(
     reaches = (add_totals(F.col("opening"), F.col("up")) >= F.col("least")) & (
         F.col("settled").isNull() | (F.col(day) <= F.col("settled"))
     )
-    # the first day with a value is looked into only if it also has rows without one
     is_first = F.col(day) == F.col("first_day")
     candidates = (
         days.withColumn("settled", settled)
-        .where(reaches | (is_first & (F.col("values") < F.col("rows"))))
+        .where(reaches | is_first)
         .select(key, day, "opening", "first_day", "_width")
     )
     rows = ledger.join(candidates, [key, day]).withColumn("_block", _block(F.col("_width"), row_id))
@@ -149,14 +155,9 @@ def first_crossing(
     )
     total = add_totals(F.col("opening"), F.col("within"))
     here = place(F.col(day), F.col(row_id))
-    found = within.groupBy(key).agg(
+    return within.groupBy(key).agg(
         F.min(F.when(total >= F.col(threshold), here)).alias("crossing"),
-        F.min(F.when(is_first & F.col(value).isNotNull(), here)).alias("first_found"),
-    )
-    starts = days.groupBy(key).agg(F.min("first_day").alias("first_day"))
-    any_id = F.when(F.col("first_day").isNotNull(), place(F.col("first_day"), F.lit("")))
-    return starts.join(found, key, "left").select(
-        key, "crossing", F.coalesce("first_found", any_id).alias("first_value")
+        F.min(F.when(is_first & F.col(value).isNotNull(), here)).alias("first_value"),
     )
 
 

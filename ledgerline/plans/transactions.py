@@ -272,23 +272,22 @@ def contract_spend(
     """Contract spend of each transaction, its client's running spend up to it in the
     order transactions take effect, and whether the discount has been earned.
 
-    Only rows of contracted clients go through the running total.
+    Rows without a contract take part in no group larger than themselves.
     """
     ledger = cut(spend_ledger(converted, windows), "spend-ledger")
     terms = cut(contract_terms(windows, ledger, hot_rows), "contract-terms")
     rows = apply_terms(converted, terms.withColumn("has_contract", F.lit(True)))
-    counted = F.col("has_contract").isNotNull() & F.col("spend_effective_date").isNotNull()
-    running = running_total(
-        rows.where(counted),
+    return running_total(
+        rows,
         ledger,
         key="client_id",
         day="spend_effective_date",
         row_id="transaction_id",
         value="contract_spend_gbp",
         out="running_contract_spend_gbp",
+        counted=F.col("has_contract").isNotNull() & F.col("spend_effective_date").isNotNull(),
         hot_rows=hot_rows,
-    )
-    return running.unionByName(rows.where(~counted), allowMissingColumns=True).select(*WITH_SPEND)
+    ).select(*WITH_SPEND)
 
 
 def price_revenue(with_spend: DataFrame) -> DataFrame:
