@@ -21,6 +21,10 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/ledgerline/{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -30,8 +34,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond, where AQE splits hot keys.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{scratch_root(spark)}/ledgerline/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete the cut tables of this application, once nothing is read from them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

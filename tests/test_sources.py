@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import TESTDATA
 from ledgerline import schemas
+from ledgerline.operators import cuts
 from ledgerline.operators.cuts import cut, scratch_root
 from ledgerline.plans.monthly import client_monthly_revenue
 from ledgerline.sources import tables as so
@@ -71,3 +72,10 @@ def test_cut_tables_lie_in_the_sessions_folder(spark):
     df = cut(spark.range(10), "ten")
     assert df.count() == 10
     assert all(scratch_root(spark) in path for path in df.inputFiles())
+
+
+def test_cut_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cuts, "scratch_root", lambda _: str(tmp_path))
+    assert cut(spark.range(10), "ten").count() == 10
+    cuts.drop_cuts(spark)
+    assert list((tmp_path / "ledgerline").iterdir()) == []
