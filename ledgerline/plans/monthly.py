@@ -9,6 +9,7 @@ from ..operators.cuts import cut
 from ..operators.spine import months_of
 from ..schemas import ADDITIVITY
 
+COVERAGE = ["data_start_date", "data_end_date"]
 MONTHLY = [
     "client_month_id",
     "client_id",
@@ -86,27 +87,34 @@ def discount_earned_date(fct: DataFrame) -> DataFrame:
 def data_coverage(fct: DataFrame) -> DataFrame:
     """One row: the first transaction date and the last date of any activity."""
     last = F.greatest(F.max("transaction_date"), F.max("resolution_date"))
-    return fct.agg(
-        F.min("transaction_date").alias("data_start_date"), last.alias("data_end_date")
-    )
+    columns = (F.min("transaction_date"), last)
+    return fct.agg(*(column.alias(name) for column, name in zip(columns, COVERAGE)))
 
 
 def reporting_months(dates: DataFrame, coverage: DataFrame) -> DataFrame:
-    """The months of the spine that the data covers, with the data's last day."""
-    covered = F.col("month_start_date").between(
-        month_start(F.col("data_start_date")), month_start(F.col("data_end_date"))
-    )
-    # one row on one side, a calendar on the other
-    return (
-        months_of(dates)
-        .join(F.broadcast(coverage), covered)
-        .select("month_start_date", "month_end_date", "data_end_date")
+    """The months of the spine that the data covers."""
+    first, last = (month_start(coverage.select(c).scalar()) for c in COVERAGE)
+    return months_of(dates).where(F.col("month_start_date").between(first, last))
+
+
+def _span(dates: DataFrame, coverage: DataFrame) -> tuple[Column, Column]:
+    """The first and the last month reported, as scalar subqueries."""
+    months = reporting_months(dates, coverage)
+    return tuple(
+        months.agg(edge("month_start_date").alias("month")).scalar() for edge in (F.min, F.max)
     )
 
 
-def client_month_scaffold(clients: DataFrame, months: DataFrame) -> DataFrame:
-    """Every client in every month. The months are bounded by the calendar."""
-    return clients.select("client_id").distinct().crossJoin(F.broadcast(months))
+def client_month_scaffold(clients: DataFrame, dates: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Every client in every month the data covers. The spine is taken to have no gaps."""
+    first, last = _span(dates, coverage)
+    months = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
+    return (
+        clients.select("client_id")
+        .distinct()
+        .select("client_id", F.explode(months).alias("month_start_date"))
+        .withColumn("month_end_date", F.last_day("month_start_date"))
+    )
 
 
 def monthly_activity(fct: DataFrame) -> DataFrame:
@@ -186,46 +194,38 @@ FLOWS = [
 CHANGES = ["pending_change_gbp", "pending_change_count", "pending_valued_count"]
 
 
-def _span(activity: DataFrame, dates: DataFrame) -> DataFrame:
-    """One row: the first and last month of the spine the data covers, and its last day."""
-    coverage = activity.agg(
+def _coverage_of(activity: DataFrame) -> DataFrame:
+    return activity.agg(
         F.min("data_start_date").alias("data_start_date"),
         F.max("data_end_date").alias("data_end_date"),
     )
-    return reporting_months(dates, coverage).agg(
-        F.min("month_start_date").alias("first_month"),
-        F.max("month_start_date").alias("last_month"),
-        F.max("data_end_date").alias("data_end_date"),
-    )
 
 
-def _dense(activity: DataFrame, span: DataFrame, flows: list[str]) -> DataFrame:
-    """Activity of every client in every month of the span, with running totals.
+def _dense(
+    activity: DataFrame, dates: DataFrame, coverage: DataFrame, flows: list[str]
+) -> DataFrame:
+    """Activity of every client in every covered month, with running totals.
 
     Each row of a client with activity also fills the months up to its next one, so the
     rows shuffled are those with activity, once, by client. A client has as many as the
     calendar has months. The spine is taken to have no gaps.
     """
-    month, first, last = (F.col(c) for c in ("month_start_date", "first_month", "last_month"))
+    month = F.col("month_start_date")
+    first, last = _span(dates, coverage)
     covered = month.between(first, last)
     # Activity outside the months reported only shows that the client exists, but what
     # was pending before the first of them still is.
     placed = (
-        activity.drop("data_end_date")
-        .crossJoin(F.broadcast(span))  # one row
-        .where(first.isNotNull())
+        activity.where(first.isNotNull())
         .select(
             "client_id",
             F.when(covered, month).otherwise(first).alias("month_start_date"),
             *(F.when(covered, F.col(c)).alias(c) for c in flows),
             *(F.when(covered | (month < first), F.col(c)).alias(c) for c in CHANGES),
             "discount_earned_date",
-            "first_month",
-            "last_month",
-            "data_end_date",
         )
         .repartition("client_id")
-        .groupBy("client_id", "month_start_date", "first_month", "last_month", "data_end_date")
+        .groupBy("client_id", "month_start_date")
         .agg(
             *(F.sum(c).alias(c) for c in [*flows, *CHANGES]),
             F.min("discount_earned_date").alias("discount_earned_date"),
@@ -243,7 +243,6 @@ def _dense(activity: DataFrame, span: DataFrame, flows: list[str]) -> DataFrame:
         F.min("discount_earned_date").over(client).alias("first_discount_date"),
     ).select(
         "client_id",
-        "data_end_date",
         "first_discount_date",
         month.alias("active_month"),
         F.explode(F.sequence("fill_from", "fill_to", F.expr("INTERVAL 1 MONTH"))).alias(
@@ -257,7 +256,6 @@ def _dense(activity: DataFrame, span: DataFrame, flows: list[str]) -> DataFrame:
         "client_id",
         "month_start_date",
         F.last_day("month_start_date").alias("month_end_date"),
-        "data_end_date",
         "first_discount_date",
         *(F.coalesce(F.when(active, F.col(c)), F.lit(0)).alias(c) for c in [*flows, *CHANGES]),
     )
@@ -289,7 +287,7 @@ def pending_at_month_end(fct: DataFrame, dates: DataFrame) -> DataFrame:
     )
     changed = F.greatest(*(F.abs(F.col(c)) for c in CHANGES)) != 0
     return (
-        _dense(activity.where(changed), _span(activity, dates), [])
+        _dense(activity.where(changed), dates, _coverage_of(activity), [])
         .where(F.col("pending_count") > 0)
         .withColumn(
             "pending_chargebacks_gbp",
@@ -306,7 +304,8 @@ def client_monthly_revenue(fct: DataFrame, dates: DataFrame, windows: DataFrame)
     contracts = windows.select(
         "client_id", "contract_start_date", "contract_end_date", "spend_threshold"
     ).withColumn("has_contract", F.lit(True))
-    rows = _dense(activity, _span(activity, dates), FLOWS).join(contracts, "client_id", "left")
+    coverage = _coverage_of(activity)
+    rows = _dense(activity, dates, coverage, FLOWS).join(contracts, "client_id", "left")
 
     contracted = F.col("has_contract").isNotNull()
     month_end, earned = F.col("month_end_date"), F.col("first_discount_date")
@@ -316,7 +315,7 @@ def client_monthly_revenue(fct: DataFrame, dates: DataFrame, windows: DataFrame)
     report = rows.withColumns(
         {
             "client_month_id": surrogate_key("client_id", "month_start_date"),
-            "is_partial_month": (month_end > F.col("data_end_date")).cast("int"),
+            "is_partial_month": (month_end > coverage.select("data_end_date").scalar()).cast("int"),
             "monthly_contract_spend_gbp": F.when(contracted, F.col("monthly_contract_spend_gbp")),
             "cumulative_contract_spend_gbp": cumulative,
             "pct_of_spend_threshold": F.round(

@@ -121,13 +121,12 @@ def relationships(
 
 def equal_rowcount(df: DataFrame, other: DataFrame) -> DataFrame:
     """One row with both counts if they differ."""
-    count, other_count = (
-        frame.agg(F.count(F.lit(1)).alias(name))
-        for frame, name in ((df, "row_count"), (other, "other_row_count"))
+    rows = F.count(F.lit(1))
+    counts = df.agg(rows.alias("row_count")).withColumn(
+        "other_row_count", other.agg(rows.alias("row_count")).scalar()
     )
-    counts = count.crossJoin(F.broadcast(other_count))  # one row each
     difference = F.abs(F.col("row_count") - F.col("other_row_count"))
-    return counts.withColumn("difference", difference).where(difference > 0)
+    return counts.withColumn("difference", difference).where(F.col("difference") > 0)
 
 
 def sequence_is_daily(df: DataFrame, key: str, day: str) -> DataFrame:
@@ -150,25 +149,19 @@ def sequence_is_daily(df: DataFrame, key: str, day: str) -> DataFrame:
 def reconcile(monthly: DataFrame, fct: DataFrame, tolerance: float = 0.001) -> DataFrame:
     """The clients whose monthly totals differ from the transaction fact: revenue and net
     GMV on both bases, and the last month's contract spend to date."""
-    last_month = monthly.agg(F.max("month_start_date").alias("last_month"))
     spend = F.col("cumulative_contract_spend_gbp")
-    months = (
-        monthly.crossJoin(F.broadcast(last_month))  # one row
-        .groupBy("client_id")
-        .agg(
-            *(
-                F.sum(c).alias(c)
-                for c in (
-                    "recognised_revenue_gbp",
-                    "originated_revenue_gbp",
-                    "recognised_net_gmv_gbp",
-                    "originated_net_gmv_gbp",
-                )
-            ),
-            F.max(F.when(F.col("month_start_date") == F.col("last_month"), spend)).alias(
-                "cumulative_contract_spend_gbp"
-            ),
-        )
+    months = monthly.groupBy("client_id").agg(
+        *(
+            F.sum(c).alias(c)
+            for c in (
+                "recognised_revenue_gbp",
+                "originated_revenue_gbp",
+                "recognised_net_gmv_gbp",
+                "originated_net_gmv_gbp",
+            )
+        ),
+        # the mart is dense, so a client's last month is the last month of all
+        F.max_by(spend, "month_start_date").alias("cumulative_contract_spend_gbp"),
     )
     recognised_net = F.when(F.col("is_revenue_recognised") == 1, F.col("net_amount_gbp"))
     transactions = fct.groupBy("client_id").agg(
