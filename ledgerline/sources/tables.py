@@ -54,6 +54,12 @@ def write_mart(df: DataFrame, path: str, month: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make each table a view for SQL, evaluated anew whenever it is read."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def write_failures(failures: DataFrame, audit_dir: str, check: str) -> str:
     """Keep the failing rows of a check for audit; the last run's rows are replaced."""
     path = f"{audit_dir.rstrip('/')}/{check}"

@@ -55,6 +55,11 @@ def test_marts_are_rebuilt_by_month(spark, tmp_path):
     assert len(list((tmp_path / "mart").glob("month_start_date=*"))) == 2
 
 
+def test_views_are_evaluated_on_reading(spark):
+    so.register_views({"numbers": spark.range(3), "squares": spark.range(3).selectExpr("id * id n")})
+    assert spark.sql("SELECT sum(n) + count(id) FROM numbers JOIN squares ON n = id").first()[0] == 3
+
+
 def test_additivity_survives_the_table(spark, tmp_path):
     from conftest import FACT, WINDOWS, frame
     from ledgerline.operators.spine import date_spine
