@@ -155,8 +155,9 @@ def monthly_activity(fct: DataFrame) -> DataFrame:
     gross, net, revenue = (
         F.col(c) for c in ("gross_amount_gbp", "net_amount_gbp", "revenue_gbp")
     )
-    pending = F.coalesce(in_month("_pending_from", gross), F.lit(0)) - F.coalesce(
-        in_month("_pending_until", gross), F.lit(0)
+    pending_in, pending_out = (
+        F.coalesce(F.sum(in_month(of, gross)), F.lit(0))
+        for of in ("_pending_from", "_pending_until")
     )
     measures = {
         "recognised_gross_gmv_gbp": F.sum(in_month("_recognised", _inflow(), _recognised())),
@@ -166,7 +167,7 @@ def monthly_activity(fct: DataFrame) -> DataFrame:
         "originated_net_gmv_gbp": F.sum(in_month("_transacted", net, _recognised())),
         "originated_revenue_gbp": F.sum(in_month("_transacted", revenue, _recognised())),
         "monthly_contract_spend_gbp": F.sum(in_month("_effective", F.col("contract_spend_gbp"))),
-        "pending_change_gbp": F.sum(pending),
+        "pending_change_gbp": pending_in - pending_out,
         "pending_change_count": F.count(in_month("_pending_from", F.lit(1)))
         - F.count(in_month("_pending_until", F.lit(1))),
         "pending_valued_count": F.count(in_month("_pending_from", gross))
