@@ -9,10 +9,12 @@ is lost. Classes depend on a size bracket; a document near the upper end of its
 a triangle-inequality window on sizes. Equal empty parts say nothing: there are ``spare`` more classes than needed, and
 documents with more empty parts than that also go to the cells of their prefix shingles, which linked documents share.
 
-Documents that meet in cells form regions. A region is joined on whole sets: pivots split it into Voronoi
+Documents that meet in cells form regions. Passages that many documents share chain cells together, so regions are
+parted again by the shingles that are rarest in them. A region is joined on whole sets: pivots split it into Voronoi
 cells, a document within 2 x 0.15 of another cell's pivot, compared with its own, is copied to that cell, cells are
-joined recursively, and pairs are dropped by the triangle inequality or as already connected. Regions of more than ``LEAF`` documents are split
-the same way by Spark, in blocks; what pivots do not split is joined block against block. All of it is exact.
+joined recursively, and pairs are dropped by the triangle inequality, by their rarest shingles or as already connected.
+Regions of more than ``LEAF`` documents are split the same way by Spark, in blocks; what pivots do not split is joined
+block against block. All of it is exact.
 
 Documents with one set are one node, so copies cost nothing. Only hashes travel; whole sets travel once, for documents
 in regions. Shingles, parts and sets are 64-bit hashes.
@@ -41,8 +43,8 @@ SHINGLE = 4
 PERCENT = 85
 LEAF = 2048
 PIVOTS = 8
-#: Share of a region that its largest cell may keep before pivots count as of no use.
-STUCK = 0.9
+#: Pivots count as of no use if their cells together hold over so many times the region's members.
+COPIES = 1.5
 _SLACK = 1e-9
 
 
@@ -114,27 +116,35 @@ def _node(members: np.ndarray) -> int:
     return int(mix(total[None] if total.ndim else np.array([total]))[0].astype(np.int64))
 
 
-def set_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, node, cells`` for every row; no node and no cells without a set."""
-    fields = [*long_field("doc_id", "n_shingles", "node")]
-    schema = T.StructType([*fields, T.StructField("cells", T.ArrayType(T.LongType()))])
+def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, node`` for every row; no node without a set."""
+    schema = T.StructType(long_field("doc_id", "n_shingles", "node"))
 
     def work(part: pa.RecordBatch) -> dict:
         sets = sets_of(part.column("text"), size)
-        cells = [cells_of(s, percent) if len(s) else np.zeros(0, np.uint64) for s in sets]
-        ends = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int32)
-        flat = np.concatenate(cells).view(np.int64)
         return {
             "doc_id": part.column("doc_id"),
             "n_shingles": [len(s) for s in sets],
             "node": [_node(s) if len(s) else None for s in sets],
-            "cells": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
         }
 
     return per_text(docs.select(F.col("doc_id").cast("long"), "text"), "text", schema, work)
 
 
-def _meetings(rows: DataFrame) -> DataFrame:
+def cell_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``cell, node``: the cells that each set goes to. These are the most rows of the join, so they
+    are made anew from the texts where they are shuffled, and never written."""
+
+    def work(part: pa.RecordBatch) -> dict:
+        sets = {_node(s): s for s in sets_of(part.column("text"), size) if len(s)}
+        cells = [cells_of(s, percent) for s in sets.values()]
+        flat = np.concatenate([np.zeros(0, np.uint64), *cells]).view(np.int64)
+        return {"cell": flat, "node": np.repeat(np.array(list(sets), np.int64), [len(c) for c in cells])}
+
+    return per_text(docs.select("text"), "text", T.StructType(long_field("cell", "node")), work)
+
+
+def _meetings(cells: DataFrame) -> DataFrame:
     """Links (a, b) between the first node of each cell and its others: rows are sorted by cell, and
     a cell is a run of rows, of which only the first is kept in mind."""
 
@@ -154,7 +164,6 @@ def _meetings(rows: DataFrame) -> DataFrame:
                 [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
             )
 
-    cells = rows.where("node is not null").select(F.explode("cells").alias("cell"), "node")
     by_cell = cells.repartition("cell").sortWithinPartitions("cell", "node")
     return by_cell.mapInArrow(run, "a long, b long")
 
@@ -224,26 +233,41 @@ class LocalJoin:
             cells = [
                 rest & (d <= nearest + 2 * width + _SLACK) & (table.argmin(axis=0) >= 0) for d in table
             ]
-            if max(c.sum() for c in cells) > STUCK * len(rows):
+            if sum(c.sum() for c in cells) > COPIES * len(rows):
                 self._by_rows(rows, table, np.flatnonzero(rest), width)
             else:
                 work += [rows[c] for c in cells]
 
     def _by_rows(self, rows: np.ndarray, table: np.ndarray, rest: np.ndarray, width: float) -> None:
-        """Every pair that the distances to the pivots and the links so far leave open."""
-        roots = np.array([self.find(i) for i in rows.tolist()])
-        for k, i in enumerate(rest[:-1].tolist()):
-            others = rest[k + 1 :]
-            near = (np.abs(table[:, others] - table[:, [i]]) <= width + _SLACK).all(axis=0)
-            others = others[near & (roots[others] != roots[i])]
-            if len(others):
-                found = len(self.links)
+        """Every pair that its sizes, the distances to the pivots, the links so far and the rarest
+        elements leave open: linked sets share one of their rarest elements, as many as may differ
+        and one more."""
+        size = self.size[rows]
+        sets = [self.codes[self.start[i] : self.start[i] + self.size[i]] for i in rows[rest]]
+        met = np.bincount(np.concatenate(sets), minlength=len(self.mark))
+        rare: list[np.ndarray] = []
+        for codes in sets:
+            n = len(codes)
+            codes = codes[np.lexsort((codes, met[codes]))][: n - -(-self.percent * n // 100) + 1]
+            rare.append(codes[met[codes] > 1])
+        owner = np.repeat(np.arange(len(rest)), [len(c) for c in rare])
+        flat = np.concatenate(rare)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        for k, i in enumerate(rest.tolist()):
+            first = np.searchsorted(flat, rare[k], "left")
+            last = np.searchsorted(flat, rare[k], "right")
+            near = [owner[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            others = np.unique(np.concatenate(near)) if near else np.zeros(0, np.int64)
+            others = rest[others[others > k]]
+            small = np.minimum(size[others], size[i])
+            others = others[100 * small >= self.percent * np.maximum(size[others], size[i])]
+            gap = np.abs(table[:, others] - table[:, [i]])
+            others = others[(gap <= width + _SLACK).all(axis=0)]
+            own = self.find(int(rows[i]))
+            others = [j for j in others.tolist() if self.find(int(rows[j])) != own]
+            if others:
                 self.distances(int(rows[i]), rows[others])
-                if len(self.links) > found:
-                    roots = np.array([self.find(j) for j in rows.tolist()])
-
-
-_MEMBER = "region long, node long, label long, members binary"
 
 
 def _local(table: pa.Table, percent: int) -> LocalJoin | None:
@@ -266,41 +290,57 @@ def _pairs(join: LocalJoin | None) -> pa.Table:
     )
 
 
-def join_regions(members: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> list[DataFrame]:
-    """Tables of links (a, b) that connect all linked members of each region."""
-    found: list[DataFrame] = []
-    members = members.withColumn("parent", F.lit(None).cast("long"))
-    while True:
-        members = cut(members, "regions")
-        sizes = cut(
-            members.groupBy("region").agg(F.count("*").alias("n"), F.max("parent").alias("before")),
-            "region-sizes",
+def _links(members: DataFrame, percent: int, keys: list[str]) -> DataFrame:
+    return members.groupBy(*keys).applyInArrow(
+        lambda t: _pairs(_local(t, percent)), "a long, b long"
+    )
+
+
+def join_large(members: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
+    """Links (a, b) that connect all linked members of regions of more than ``leaf`` members
+    (``region, node, label, members, n``). Members of one label are known to be connected."""
+    found = [members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)]
+    while not members.isEmpty():
+        members = cut(members, "large-regions")
+        cells = cut(_voronoi(members, percent, leaf), "voronoi-cells")
+        links = cells.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        found.append(links.where("a != b").distinct())
+        sizes = cells.where("inside").groupBy("region", "cell").agg(F.count("*").alias("n_cell"))
+        whole = members.groupBy("region").agg(F.first("n").alias("n"))
+        verdict = sizes.groupBy("region").agg(
+            F.max("n_cell").alias("largest"), F.sum("n_cell").alias("copies")
         )
-        large = sizes.where(F.col("n") > leaf)
-        small = members.join(sizes.where(F.col("n") <= leaf).select("region"), "region")
-        leaves = small.select("region", "node", "label", "members")
-        found.append(
-            cut(
-                leaves.groupBy("region").applyInArrow(
-                    lambda t: _pairs(_local(t, percent)), "a long, b long"
-                ),
-                "leaf-links",
-            )
+        crowded = (F.col("copies") > COPIES * F.col("n")) | (F.col("largest") > 0.9 * F.col("n"))
+        useless = verdict.join(whole, "region").where(crowded).select("region")
+        useless = checked_broadcast(cut(useless, "useless-pivots"))
+        labels = cells.where("linked").groupBy("region", "node").agg(F.min("pivot").alias("to"))
+        labelled = cut(
+            members.join(labels, ["region", "node"], "left")
+            .withColumn("label", F.coalesce("to", "label"))
+            .drop("to"),
+            "labelled-regions",
+        )
+        stuck = labelled.join(useless, "region", "left_semi")
+        found.append(cut(_block_pairs(stuck, percent, leaf), "block-links"))
+        split = cells.where("inside").join(useless, "region", "left_anti")
+        key = F.xxhash64("region", "cell").alias("next")
+        placed = split.join(sizes, ["region", "cell"]).select("region", "node", key, "n_cell")
+        parts = labelled.drop("n").join(placed, ["region", "node"]).select(
+            F.col("next").alias("region"), "node", "label", "members", F.col("n_cell").alias("n")
         )
-        if large.isEmpty():
-            return found
-        useless = F.col("before").isNotNull() & (F.col("n") > STUCK * F.col("before"))
-        found.append(cut(_block_pairs(members, large.where(useless), percent, leaf), "block-links"))
-        links, members = _split(members, large.where(~useless), percent, leaf)
-        found.append(links)
-
-
-def _split(
-    members: DataFrame, large: DataFrame, percent: int, leaf: int
-) -> tuple[DataFrame, DataFrame]:
-    """Voronoi cells of large regions, in blocks; and the links to pivots found on the way."""
-    blocks = F.ceil(F.col("n") / leaf).cast("int")
-    rows = members.drop("parent").join(large.select("region", "n", blocks.alias("blocks")), "region")
+        parts = cut(parts, "cells")
+        found.append(cut(_links(parts.where(F.col("n") <= leaf), percent, ["region"]), "cell-links"))
+        members = parts.where(F.col("n") > leaf)
+    links = found[0]
+    for table in found[1:]:
+        links = links.unionByName(table)
+    return links
+
+
+def _voronoi(members: DataFrame, percent: int, leaf: int) -> DataFrame:
+    """``region, node, cell, pivot, linked, inside`` of the members and pivots of large regions:
+    whether the pair is linked, and whether the member goes to that pivot's cell. Without sets."""
+    rows = members.withColumn("blocks", F.ceil(F.col("n") / leaf).cast("int"))
     place = F.xxhash64("node", "region")
     # about four times the pivots needed, so that a region hardly ever gets none
     drawn = rows.where(
@@ -314,59 +354,53 @@ def _split(
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("region", "block", "node", "label", "members", "n")
+    dealt = dealt.select("region", "block", "node", "members")
     width = 1 - percent / 100
 
     def assign(right: pa.Table, left: pa.Table) -> pa.Table:
         nodes = left.column("node").to_numpy()
-        parts = left.column("members").combine_chunks()
-        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in parts]
-        labels = left.column("label").to_numpy().copy()
-        region, n = (left.column(c)[0].as_py() if len(nodes) else 0 for c in ("region", "n"))
-        far, size = [], np.array([len(s) for s in sets], np.int64)
-        names = right.column("node").to_numpy()
-        whole = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        at = np.cumsum(size) - size
-        for name, pivot in zip(names, right.column("members").combine_chunks(), strict=True):
-            own = np.frombuffer(pivot.as_buffer(), np.uint64)
-            spot = np.minimum(np.searchsorted(own, whole), len(own) - 1)
-            shared = np.add.reduceat((own[spot] == whole).astype(np.int64), at)
-            labels[linked(size, len(own), shared, percent)] = name
-            far.append(1 - shared / (size + len(own) - shared))
-        if not far:  # no pivot was drawn: the region stays whole and counts as useless to split
-            far = [np.zeros(len(nodes))]
-        table = np.array(far)
-        row, cell = np.nonzero((table <= table.min(axis=0) + 2 * width + _SLACK).T)
-        key = mix(np.full(len(row), region).astype(np.uint64) ^ mix(cell.astype(np.uint64) + 1))
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in left.column("members").combine_chunks()]
+        size = np.array([len(s) for s in sets], np.int64)
+        # a region without a drawn pivot is one cell, which counts as of no use
+        names = right.column("node").to_numpy() if right.num_rows else np.zeros(1, np.int64)
+        far, near = np.zeros((len(names), len(nodes))), np.zeros((len(names), len(nodes)), bool)
+        if len(nodes) and right.num_rows:
+            whole, at = np.concatenate(sets), np.cumsum(size) - size
+            for k, pivot in enumerate(right.column("members").combine_chunks()):
+                own = np.frombuffer(pivot.as_buffer(), np.uint64)
+                spot = np.minimum(np.searchsorted(own, whole), len(own) - 1)
+                shared = np.add.reduceat((own[spot] == whole).astype(np.int64), at)
+                near[k] = linked(size, len(own), shared, percent)
+                far[k] = 1 - shared / (size + len(own) - shared)
+        inside = far <= far.min(axis=0, initial=2) + 2 * width + _SLACK
+        cell, row = np.nonzero(inside | near)
+        region = left.column("region")[0].as_py() if len(nodes) else 0
         return pa.table(
             {
-                "region": key.view(np.int64),
+                "region": np.full(len(row), region, np.int64),
                 "node": nodes[row],
-                "label": labels[row],
-                "members": parts.take(pa.array(row)),
-                "parent": np.full(len(row), n),
-                "was": left.column("label").to_numpy()[row],
+                "cell": names[cell],
+                "pivot": names[cell],
+                "linked": near[cell, row],
+                "inside": inside[cell, row],
             }
         )
 
-    made = (
+    return (
         pivots.groupBy("region", "block")
         .cogroup(dealt.groupBy("region", "block"))
-        .applyInArrow(assign, f"{_MEMBER}, parent long, was long")
+        .applyInArrow(
+            assign,
+            "region long, node long, cell long, pivot long, linked boolean, inside boolean",
+        )
     )
-    made = cut(made, "voronoi-cells")
-    links = made.where("label != was").select(F.col("label").alias("a"), F.col("node").alias("b"))
-    return links.distinct(), made.drop("was")
 
 
-def _block_pairs(members: DataFrame, large: DataFrame, percent: int, leaf: int) -> DataFrame:
+def _block_pairs(members: DataFrame, percent: int, leaf: int) -> DataFrame:
     """Regions that pivots do not split: every block against every block."""
-    blocks = F.ceil(2 * F.col("n") / leaf).cast("int")
-    rows = members.join(large.select("region", blocks.alias("blocks")), "region")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    copied = rows.withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
+    rows = members.withColumn("blocks", F.ceil(2 * F.col("n") / leaf).cast("int"))
+    copied = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    copied = copied.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = copied.select(
         "region",
         F.least("own", "other").alias("low"),
@@ -375,35 +409,72 @@ def _block_pairs(members: DataFrame, large: DataFrame, percent: int, leaf: int)
         "label",
         "members",
     )
-    return keyed.groupBy("region", "low", "high").applyInArrow(
-        lambda t: _pairs(_local(t, percent)), "a long, b long"
-    )
+    return _links(keyed, percent, ["region", "low", "high"])
 
 
-def jaccard_components(
-    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row."""
-    rows = cut(set_rows(docs, size, percent), "sets")
-    regions = cut(connected_components(_meetings(rows)), "meeting-regions")
-    slim = rows.select("doc_id", "n_shingles", "node")
-    wanted = slim.join(checked_broadcast(regions), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = checked_broadcast(cut(wanted.select("doc_id").distinct(), "candidates"))
+def _region_members(docs: DataFrame, regions: DataFrame, slim: DataFrame, size: int) -> DataFrame:
+    """The sets of the nodes in ``regions`` (node, region), from one document of each node."""
+    regions = checked_broadcast(regions)
+    wanted = slim.join(regions, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids = cut(wanted.select(F.col("doc_id").alias("id")).distinct(), "candidates")
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    found = F.col("doc_id").eqNullSafe(F.col("id"))
+    texts = texts.join(checked_broadcast(ids), found, "left_semi")
 
     def work(part: pa.RecordBatch) -> dict:
         sets = {_node(s): s.tobytes() for s in sets_of(part.column("text"), size) if len(s)}
         return {"node": list(sets), "members": list(sets.values())}
 
     schema = T.StructType([*long_field("node"), T.StructField("members", T.BinaryType())])
-    whole = per_text(texts.select("text"), "text", schema, work)
-    whole = whole.join(checked_broadcast(regions), "node")
-    members = whole.select(F.col("root").alias("region"), "node", F.col("node").alias("label"), "members")
-    tables = join_regions(members, percent, leaf)
-    links = tables[0]
-    for table in tables[1:]:
-        links = links.unionByName(table)
+    whole = per_text(texts.select("text"), "text", schema, work).join(regions, "node")
+    return whole.select("region", "node", F.col("node").alias("label"), "members")
+
+
+def _rare_cells(members: DataFrame, percent: int) -> DataFrame:
+    """``cell, node``: the cells of members of regions, by the elements that are rarest in their
+    region. Linked sets share one of as many as may differ and one more; passages that many
+    members share are no longer what brings them together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("members")]
+            size = np.array([len(s) for s in sets], np.int64)
+            columns = [np.repeat(batch.column(c).to_numpy(), size) for c in ("region", "node")]
+            flat = np.concatenate([np.zeros(0, np.int64), *sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (*columns, np.repeat(size, size), flat)],
+                names=["region", "node", "size", "element"],
+            )
+
+    elements = members.select("region", "node", "members").mapInArrow(
+        run, T.StructType(long_field("region", "node", "size", "element"))
+    )
+    met = elements.groupBy("region", "element").agg(F.count("*").alias("met")).where("met > 1")
+    counted = elements.join(met, ["region", "element"], "left")
+    order = Window.partitionBy("region", "node").orderBy(F.coalesce("met", F.lit(1)), "element")
+    ranked = counted.withColumn("rank", F.row_number().over(order))
+    prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    kept = ranked.where((F.col("rank") <= prefix) & F.col("met").isNotNull())
+    return kept.select(F.xxhash64("region", "element").alias("cell"), "node")
+
+
+def jaccard_components(
+    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row."""
+    slim = cut(set_rows(docs, size), "sets")
+    met = connected_components(_meetings(cell_rows(docs, size, percent)))
+    met = cut(met.select("node", F.col("root").alias("region")), "meetings")
+    members = cut(_region_members(docs, met, slim, size), "region-members")
+    finer = connected_components(_meetings(_rare_cells(members, percent)))
+    finer = cut(finer.select("node", F.col("root").alias("region")), "finer-meetings")
+    sizes = finer.groupBy("region").agg(F.count("*").alias("n"))
+    finer = checked_broadcast(cut(finer.join(sizes, "region"), "regions"))
+    parts = members.drop("region").join(finer, "node")
+    links = cut(_links(parts.where(F.col("n") <= leaf), percent, ["region"]), "leaf-links")
+    large = parts.where(F.col("n") > leaf)
+    if not finer.where(F.col("n") > leaf).isEmpty():
+        links = links.unionByName(join_large(large, percent, leaf))
     roots = checked_broadcast(cut(connected_components(links), "components"))
     rooted = slim.join(roots, "node", "left")
     rooted = cut(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
@@ -419,7 +490,7 @@ def jaccard_components(
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows that stay when one document of each component is kept: the one of the smallest id.
-    Rows that repeat an id are kept once; rows without an id stay."""
+    Other rows of an id that goes go too; rows without an id stay."""
     found = jaccard_components(docs, size, percent).select("doc_id", "component_id")
     dropped = cut(found.where("doc_id != component_id").select("doc_id").distinct(), "dropped")
     return docs.join(checked_broadcast(dropped), "doc_id", "left_anti").select(docs.columns)
