@@ -128,10 +128,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORACLE_SQL: dict[str, str] = {
     "op4_voronoi_knn": """
         with whole as (
-            select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
             from embeddings
             where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ),
         scored as (
             select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
@@ -186,18 +186,18 @@ ORACLE_SQL: dict[str, str] = {
             from ranked where rank // ((source_size + 31) // 32) < 3 group by all
         ),
         laid as (
-            select *, sum(size) over (
+            select *, (sum(size) over (
                 partition by source order by hash, size, doc_id rows unbounded preceding
-            ) - size as at
+            ) - size)::bigint as place
             from docs
         ),
         spans as (
-            select doc_id, source, at, size, unnest(range(at // 32, (at + size - 1) // 32 + 1)) as block
+            select doc_id, source, place, size, unnest(range(place // 32, (place + size - 1) // 32 + 1)) as block
             from laid where size > 0
         ),
         taken as (
-            select spans.source, at, sum(
-                (least(at + size, (spans.block + 1) * 32) - greatest(at, spans.block * 32)) * uses
+            select spans.source, place, sum(
+                (least(place + size, (spans.block + 1) * 32) - greatest(place, spans.block * 32)) * uses
             ) as taken
             from spans join uses
               on spans.block = uses.block and spans.source is not distinct from uses.source
@@ -206,7 +206,7 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, size, source_size, round(target, 6) as target,
             coalesce(taken, 0)::bigint as taken
         from laid join plan on laid.source is not distinct from plan.source
-        left join taken on size > 0 and laid.at = taken.at
+        left join taken on size > 0 and laid.place = taken.place
             and laid.source is not distinct from taken.source
     """,
     "op10_ngram_jaccard": f"""
@@ -219,7 +219,7 @@ ORACLE_SQL: dict[str, str] = {
                 when len(w) = 0 then []
                 when len(w) < 4 then [array_to_string(w, ' ')]
                 else list_distinct(list_transform(
-                    generate_series(1, len(w) - 3), i -> array_to_string(w[i:i + 3], ' ')))
+                    generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')))
             end as s
             from worded
         ),
