@@ -63,9 +63,10 @@ def attach_linked(
         .alias("from")
         .join(linked.alias("to"), F.col(f"from.{link}") == F.col(f"to.{row_id}"), "left")
         .select(
-            F.col(f"from.{row_id}").alias(row_id), F.col(f"from.{link}").alias("_link"), *columns
+            F.col(f"from.{row_id}").alias("_id"), F.col(f"from.{link}").alias("_link"), *columns
         )
     )
-    # one id with two links is an error in the data, yet each row keeps to its own link
-    own = F.col(link).isNull() | F.col("_link").isNull() | (F.col(link) == F.col("_link"))
-    return rows.join(answers, row_id, "left").where(own).drop("_link")
+    # one id with several links is an error in the data, yet each row gets the answer to its own
+    # link, and a row without a link none; not as an equality, which would be a key to shuffle by
+    own = (F.col(row_id) == F.col("_id")) & F.coalesce(F.col(link) == F.col("_link"), F.lit(False))
+    return rows.join(answers, own, "left").drop("_id", "_link")

@@ -32,5 +32,10 @@ def date_spine_over(df: DataFrame, day: str) -> DataFrame:
     return _calendar(bounds, month_start(F.col("first_day")), F.last_day("last_day"))
 
 
+def date_spine_covering(coverage: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per day of the whole months between two dates of a one-row table."""
+    return _calendar(coverage, month_start(F.col(first)), F.last_day(last))
+
+
 def months_of(dates: DataFrame) -> DataFrame:
     return dates.select("month_start_date", "month_end_date").distinct()

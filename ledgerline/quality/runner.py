@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -145,6 +146,8 @@ def store_failures(
     stored = {}
     for check in checks:
         if check.store_failures:
-            name = f"{check.table}__{check.kind}__{check.column}"
+            # two checks of one kind on a column may differ in their condition
+            digest = hashlib.md5(repr(check).encode()).hexdigest()[:8]
+            name = f"{check.table}__{check.kind}__{check.column}__{digest}"
             stored[check.name] = write_failures(failing_rows(check, tables), audit_dir, name)
     return stored

@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 
 AMOUNT = T.DecimalType(14, 2)
 MONEY = T.DecimalType(18, 2)
-MARGIN = T.DecimalType(4, 3)
-RATE = T.DecimalType(8, 4)
+MARGIN = T.DecimalType(10, 8)
+#: Wide enough for a yen in pounds; amounts are rounded only once converted.
+RATE = T.DecimalType(18, 10)
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:

@@ -13,7 +13,8 @@ from ..operators.cuts import cut
 from ..plans.transactions import Inputs
 from .tables import transaction_types
 
-ID_DIGITS = 12
+#: Any 64-bit number fits; fewer digits would cut large keys off.
+ID_DIGITS = 19
 
 
 def _order_key() -> Column:
@@ -112,7 +113,7 @@ def bridge_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.datediff(F.col("d"), F.lit("1995-01-01").cast("date"))
 
     def rate(currency: str, value: Column) -> Column:
-        return F.struct(F.lit(currency).alias("currency"), value.cast(schemas.RATE).alias("rate"))
+        return F.struct(F.lit(currency).alias("currency"), value.cast("decimal(8,4)").cast(schemas.RATE).alias("rate"))
 
     gapped = n % 4 != 3
     rates = F.array_compact(
@@ -148,6 +149,7 @@ def bridge_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
             (6 + key % 30).cast("int").alias("contract_duration_months"),
             (199999 * (1 + key % 5)).cast(schemas.AMOUNT).alias("spend_threshold"),
             ((100 + 10 * (key % 8)).cast(schemas.AMOUNT) / 1000)
+            .cast("decimal(4,3)")
             .cast(schemas.MARGIN)
             .alias("discounted_fee_margin"),
         )

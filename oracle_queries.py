@@ -130,12 +130,14 @@ CTES: dict[str, str] = {
                ifnull(p.own_fee, o.own_fee) AS used_fee,
                CASE o.booked WHEN 0 THEN 0 ELSE o.net_gbp * ifnull(p.own_fee, o.own_fee) END AS revenue
         FROM own o LEFT JOIN own p ON p.tid = o.link""",
-    "cal": """
-        SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-12-31', INTERVAL 1 DAY))::DATE AS date_day,
-               date_trunc('month', date_day)::DATE AS month_start_date,
-               last_day(date_day) AS month_end_date""",
     "span": """
         SELECT min(day) AS data_start_date, greatest(max(day), max(settled_on)) AS data_end_date FROM rev""",
+    "cal": """
+        SELECT unnest(generate_series(date_trunc('month', data_start_date)::DATE,
+                                      last_day(data_end_date), INTERVAL 1 DAY))::DATE AS date_day,
+               date_trunc('month', date_day)::DATE AS month_start_date,
+               last_day(date_day) AS month_end_date
+        FROM span""",
     "grid": """
         SELECT cid, month_start_date AS m, month_end_date AS m_end
         FROM (SELECT DISTINCT cid FROM rev),
@@ -379,7 +381,7 @@ SELECTS: dict[str, str] = {
         SELECT client_id, revenue / nullif(net_gmv, 0) AS take_rate, revenue, net_gmv FROM (
             SELECT cid AS client_id, sum(revenue)::DOUBLE AS revenue,
                    sum(if(booked = 1, net_gbp, 0))::DOUBLE AS net_gmv
-            FROM rev WHERE kind <> 'fraud' GROUP BY ALL)""",
+            FROM rev GROUP BY ALL)""",
     "dq_rates_daily": """
         SELECT * FROM (
             SELECT currency, rate_date,
