@@ -9,7 +9,8 @@ is lost. Classes depend on a size bracket; a document near the upper end of its
 a triangle-inequality window on sizes. Equal empty parts say nothing: there are ``spare`` more classes than needed, and
 documents with more empty parts than that also go to the cells of their prefix shingles, which linked documents share.
 
-Documents that meet in cells form regions. Passages that many documents share chain cells together, so regions are
+Documents that meet in cells form regions. A linked document meets the other in all cells of its parts but as many
+as the elements in which they may differ, so those that met others in fewer cells leave. Passages that many documents share chain cells together, so regions are
 parted again by the shingles that are rarest in them. A region is joined on whole sets: pivots split it into Voronoi
 cells, a document within 2 x 0.15 of another cell's pivot, compared with its own, is copied to that cell, cells are
 joined recursively, and pairs are dropped by the triangle inequality, by their rarest shingles or as already connected.
@@ -73,25 +74,47 @@ def linked(a: np.ndarray, b: np.ndarray, shared: np.ndarray, percent: int = PERC
     return 100 * shared >= percent * (a + b - shared)
 
 
-def cells_of(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The cells of a set, given as sorted hashes."""
+def _parts(members: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per bracket that a set, given as sorted hashes, goes by: the bracket, the classes in which it
+    has a part, and where these parts start."""
     n = len(members)
     own = int(np.searchsorted(BRACKETS, n, "right")) - 1
-    mixed, out = mix(members), []
     for bracket in (own, own + 1):
         if bracket > own and 100 * n < percent * int(BRACKETS[bracket]):
             continue
-        k, spare = classes(bracket, percent)
+        k, _ = classes(bracket, percent)
         part = ((members >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
         first = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
-        label = part[first] + (np.uint64(bracket) << np.uint64(48))
-        out.append(mix(np.add.reduceat(mixed, first) + mix(label)))
+        yield bracket, part[first], first
+
+
+def cells_of(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The cells of a set, given as sorted hashes. The last bit tells odd brackets from even ones."""
+    n = len(members)
+    mixed, out = mix(members), []
+    for bracket, part, first in _parts(members, percent):
+        label = part + (np.uint64(bracket) << np.uint64(48))
+        cells = [mix(np.add.reduceat(mixed, first) + mix(label))]
+        k, spare = classes(bracket, percent)
         if k - len(first) > spare:
             prefix = n - -(-percent * n // 100) + 1
-            out.append(mix(mixed[:prefix] ^ mix(np.uint64([(bracket << 48) + (1 << 47)]))))
+            cells.append(mix(mixed[:prefix] ^ mix(np.uint64([(bracket << 48) + (1 << 47)]))))
+        out += [c >> np.uint64(1) << np.uint64(1) | np.uint64(bracket & 1) for c in cells]
     return np.concatenate(out)
 
 
+def needed(members: np.ndarray, percent: int = PERCENT) -> list[int | None]:
+    """In how many cells of its even and of its odd bracket a set meets every set linked with it
+    there: all its parts but as many as the elements in which the two may differ. At least one, as
+    sets with fewer parts than that also meet in cells of their prefix."""
+    n, out = len(members), [None, None]
+    for bracket, part, _ in _parts(members, percent):
+        other = min(int(BRACKETS[bracket + 1]) - 1, 100 * n // percent)
+        differ = (n + other) * (100 - percent) // (100 + percent)
+        out[bracket & 1] = max(1, len(part) - differ)
+    return out
+
+
 def sets_of(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """The set of each text: its distinct shingles as sorted hashes."""
     data, bounds = text_bytes(column)
@@ -116,16 +139,19 @@ def _node(members: np.ndarray) -> int:
     return int(mix(total[None] if total.ndim else np.array([total]))[0].astype(np.int64))
 
 
-def set_rows(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, node`` for every row; no node without a set."""
-    schema = T.StructType(long_field("doc_id", "n_shingles", "node"))
+def set_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, node`` and what is ``needed`` for every row; no node without a set."""
+    schema = T.StructType(long_field("doc_id", "n_shingles", "node", "need_even", "need_odd"))
 
     def work(part: pa.RecordBatch) -> dict:
         sets = sets_of(part.column("text"), size)
+        need = [needed(s, percent) if len(s) else (None, None) for s in sets]
         return {
             "doc_id": part.column("doc_id"),
             "n_shingles": [len(s) for s in sets],
             "node": [_node(s) if len(s) else None for s in sets],
+            "need_even": [even for even, _ in need],
+            "need_odd": [odd for _, odd in need],
         }
 
     return per_text(docs.select(F.col("doc_id").cast("long"), "text"), "text", schema, work)
@@ -145,27 +171,42 @@ def cell_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
 
 
 def _meetings(cells: DataFrame) -> DataFrame:
-    """Links (a, b) between the first node of each cell and its others: rows are sorted by cell, and
-    a cell is a run of rows, of which only the first is kept in mind."""
+    """``a, b, odd, met``: in how many cells, of odd or of even brackets, the first node ``a`` met
+    ``b``; of equal ones, in how many it met any. Counts are parts of sums. Rows are sorted by cell, and
+    a cell is a run of rows, of which only the first and the last are kept in mind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, pivot = None, None
+        last, pivot, alone = (None, None), 0, False
         for batch in batches:
             cell, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(cell):
                 continue
-            new = np.concatenate([[cell[0] != last], cell[1:] != cell[:-1]])
-            first = np.maximum.accumulate(np.where(new, np.arange(len(cell)), -1))
-            pivots = np.where(first >= 0, node[first], 0 if pivot is None else pivot)
-            last, pivot = cell[-1], pivots[-1]
-            met = pivots != node
-            pairs = np.unique(np.column_stack([pivots[met], node[met]]), axis=0)
+            more = np.concatenate([[cell[0] == last[0]], cell[1:] == cell[:-1]])
+            again = more & np.concatenate([[node[0] == last[1]], node[1:] == node[:-1]])
+            cell, node, more = cell[~again], node[~again], more[~again]
+            if not len(cell):
+                continue
+            first = np.maximum.accumulate(np.where(more, -1, np.arange(len(cell))))
+            pivots = np.where(first >= 0, node[first], pivot)
+            second = more & np.concatenate([[alone], ~more[:-1]])
+            last, pivot, alone = (cell[-1], node[-1]), pivots[-1], not more[-1]
+            a = np.concatenate([pivots[more], pivots[second]])
+            b = np.concatenate([node[more], pivots[second]])
+            odd = np.concatenate([cell[more], cell[second]]) & 1
+            rows, met = np.unique(np.column_stack([a, b, odd]), axis=0, return_counts=True)
+            columns = [*(rows[:, k] for k in range(3)), met]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
+                [pa.array(c, pa.int64()) for c in columns], names=["a", "b", "odd", "met"]
             )
 
     by_cell = cells.repartition("cell").sortWithinPartitions("cell", "node")
-    return by_cell.mapInArrow(run, "a long, b long")
+    return by_cell.mapInArrow(run, T.StructType(long_field("a", "b", "odd", "met")))
+
+
+def _regions(meetings: DataFrame) -> DataFrame:
+    """``node, region`` of all nodes that meetings connect."""
+    found = connected_components(meetings.where("a != b").select("a", "b"))
+    return found.select("node", F.col("root").alias("region"))
 
 
 class LocalJoin:
@@ -413,13 +454,15 @@ def _block_pairs(members: DataFrame, percent: int, leaf: int) -> DataFrame:
 
 
 def _region_members(docs: DataFrame, regions: DataFrame, slim: DataFrame, size: int) -> DataFrame:
-    """The sets of the nodes in ``regions`` (node, region), from one document of each node."""
-    regions = checked_broadcast(regions)
-    wanted = slim.join(regions, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    ids = cut(wanted.select(F.col("doc_id").alias("id")).distinct(), "candidates")
+    """The sets of the nodes in ``regions`` (node, region, even, odd: cells in which they met others)
+    that met others in as many cells as any link needs, from one document of each node."""
+    enough = (F.col("even") >= F.col("need_even")) | (F.col("odd") >= F.col("need_odd"))
+    found = slim.join(checked_broadcast(regions), "node").where(enough)
+    wanted = cut(found.groupBy("region", "node").agg(F.min("doc_id").alias("id")), "candidates")
+    ids = wanted.select("id").distinct()
+    regions = checked_broadcast(wanted.select("region", "node"))
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    found = F.col("doc_id").eqNullSafe(F.col("id"))
-    texts = texts.join(checked_broadcast(ids), found, "left_semi")
+    texts = texts.join(checked_broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
 
     def work(part: pa.RecordBatch) -> dict:
         sets = {_node(s): s.tobytes() for s in sets_of(part.column("text"), size) if len(s)}
@@ -433,41 +476,46 @@ def _region_members(docs: DataFrame, regions: DataFrame, slim: DataFrame, size:
 def _rare_cells(members: DataFrame, percent: int) -> DataFrame:
     """``cell, node``: the cells of members of regions, by the elements that are rarest in their
     region. Linked sets share one of as many as may differ and one more; passages that many
-    members share are no longer what brings them together."""
+    members share are no longer what brings them together. Elements that one member alone holds
+    are its rarest and meet nobody, so only their number is asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("members")]
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column("members")]
             size = np.array([len(s) for s in sets], np.int64)
-            columns = [np.repeat(batch.column(c).to_numpy(), size) for c in ("region", "node")]
-            flat = np.concatenate([np.zeros(0, np.int64), *sets])
+            region = mix(batch.column("region").to_numpy().astype(np.uint64))
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets])
+            cell = mix(flat + np.repeat(region, size)).view(np.int64)
+            columns = [cell, np.repeat(batch.column("node").to_numpy(), size), np.repeat(size, size)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (*columns, np.repeat(size, size), flat)],
-                names=["region", "node", "size", "element"],
+                [pa.array(c) for c in columns], names=["cell", "node", "size"]
             )
 
     elements = members.select("region", "node", "members").mapInArrow(
-        run, T.StructType(long_field("region", "node", "size", "element"))
+        run, T.StructType(long_field("cell", "node", "size"))
     )
-    met = elements.groupBy("region", "element").agg(F.count("*").alias("met")).where("met > 1")
-    counted = elements.join(met, ["region", "element"], "left")
-    order = Window.partitionBy("region", "node").orderBy(F.coalesce("met", F.lit(1)), "element")
-    ranked = counted.withColumn("rank", F.row_number().over(order))
+    met = elements.groupBy("cell").agg(F.count("*").alias("met")).where("met > 1")
+    by_node = Window.partitionBy("node")
+    rank = F.dense_rank().over(by_node.orderBy("met", "cell"))
+    ranked = elements.join(met, "cell").withColumn("rank", rank)
+    ranked = ranked.withColumn("alone", F.col("size") - F.max("rank").over(by_node))
     prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    kept = ranked.where((F.col("rank") <= prefix) & F.col("met").isNotNull())
-    return kept.select(F.xxhash64("region", "element").alias("cell"), "node")
+    return ranked.where(F.col("alone") + F.col("rank") <= prefix).select("cell", "node")
 
 
 def jaccard_components(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, leaf: int = LEAF
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row."""
-    slim = cut(set_rows(docs, size), "sets")
-    met = connected_components(_meetings(cell_rows(docs, size, percent)))
-    met = cut(met.select("node", F.col("root").alias("region")), "meetings")
-    members = cut(_region_members(docs, met, slim, size), "region-members")
-    finer = connected_components(_meetings(_rare_cells(members, percent)))
-    finer = cut(finer.select("node", F.col("root").alias("region")), "finer-meetings")
+    slim = cut(set_rows(docs, size, percent), "sets")
+    meetings = cut(_meetings(cell_rows(docs, size, percent)), "meetings")
+    counts = meetings.groupBy(F.col("b").alias("node")).agg(
+        F.sum(F.when(F.col("odd") == 0, F.col("met"))).alias("even"),
+        F.sum(F.when(F.col("odd") == 1, F.col("met"))).alias("odd"),
+    )
+    regions = cut(_regions(meetings).join(counts, "node"), "met-regions")
+    members = cut(_region_members(docs, regions, slim, size), "region-members")
+    finer = cut(_regions(_meetings(_rare_cells(members, percent))), "finer-meetings")
     sizes = finer.groupBy("region").agg(F.count("*").alias("n"))
     finer = checked_broadcast(cut(finer.join(sizes, "region"), "regions"))
     parts = members.drop("region").join(finer, "node")
