@@ -302,3 +302,19 @@ def test_blocks_of_regions_lose_no_link(spark):
         groups = Counter(root[n] for n in nodes)
         expected = Counter(c for _, _, c in components(rows).elements())
         assert sorted(groups.values()) == sorted(expected.values())
+
+
+def test_linked_sets_meet_in_as_many_cells_as_needed():
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 40), 97, 149, 150, 151, 1000, 7000]:
+        for _ in range(10):
+            union = np.unique(rng.integers(0, 2**64, n, np.uint64))
+            # as far apart as a link allows, and the difference dealt to both sides at random
+            apart = len(union) * 15 // 100
+            where = rng.choice(len(union), apart, replace=False)
+            left = rng.random(apart) < rng.choice([0, 0.5, 1])
+            a, b = np.delete(union, where[left]), np.delete(union, where[~left])
+            met = np.intersect1d(jaccard.cells_of(a), jaccard.cells_of(b))
+            for members in (a, b):
+                need = jaccard.needed(members)
+                assert any(k is not None and (met & 1 == odd).sum() >= k for odd, k in enumerate(need))
