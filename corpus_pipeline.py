@@ -18,6 +18,11 @@ from ledgerline.operators.cuts import cut
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies of the corpus: of shingles of so many words they share so many per cent. The query of
+#: operator 10 has a contract of its own.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def _stage(work: Stage) -> Stage:
     @wraps(work)
@@ -52,7 +57,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that the n-gram Jaccard join links, the document of the smallest id stays."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 @_stage

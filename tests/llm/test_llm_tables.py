@@ -191,3 +191,43 @@ def test_pipeline(spark):
         docs, ids = made, kept
     packed = corpus_pipeline.run(spark, TESTDATA).collect()
     assert {r["doc_id"] for r in packed} == ids
+
+
+def test_near_duplicates_of_the_pipeline_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    fresh = iter(f"w{k}" for k in rng.permutation(100_000))
+    rows = []
+
+    def add(text):
+        rows.append((len(rows), " ".join(text), "en", "s", 1, "x", 7))
+
+    for _ in range(4):
+        text = [next(fresh) for _ in range(200)]
+        add(text)
+        # by shingles of five words: 0.845, 0.831, 0.813, 0.8, and below 0.8
+        for more in rng.choice([36, 40, 45, 49, 50], 3, replace=False):
+            add(text + [next(fresh) for _ in range(more)])
+        for changed in (4, 5):
+            copy = list(text)
+            for at in range(changed):
+                copy[20 + 30 * at] = next(fresh)
+            add(copy)
+    for text in ("a b c d", "a b c d", "a b c e", "a b c d e"):
+        add(text.split())
+    sets = []
+    for row in rows:
+        w = words(row[1])
+        sets.append({tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))})
+    least = list(range(len(rows)))
+    between = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            between += 0.8 <= alike < 0.85
+            if alike >= 0.8:
+                old, new = max(least[a], least[b]), min(least[a], least[b])
+                least = [new if x == old else x for x in least]
+    assert between >= 8
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, TESTDATA)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least))
