@@ -3,7 +3,9 @@
 A page is cut into leaf blocks, each with its path of tags from the root; containers carry their class and id in
 the path. For each path the page's text length, punctuation and link text are summed over its leaves. A path's
 ratio is characters per leaf, weighed by punctuation and by the share of text outside links; paths through a container
-that names itself navigation, header, footer, advert, comments and the like get 0. Ratios are smoothed over
+that names itself navigation, header, footer, advert, comments and the like get 0. Names on html, body, main and
+article do not count, nor does a name like has-sidebar on a container with over half of the page's text outside aside
+tags, nor a plain one like comments, which may outweigh a short article, if hardly any text is left beside it. Ratios are smoothed over
 neighbouring leaves in page order, so a heading between paragraphs is not lost, and fused per container: the
 containers whose fused ratio reaches ``THRESHOLD`` of the page's highest select the content, and every block
 under their lowest common container is content, except those of ratio 0.
@@ -21,6 +23,7 @@ import html
 import math
 import re
 from collections import defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -53,6 +56,7 @@ ASIDE_WORDS = {
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 CONTENT_TAGS = {"article", "main"}
+FRAME_TAGS = {"html", "body", *CONTENT_TAGS}
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2",
     "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul",
@@ -71,6 +75,7 @@ _MARKUP = re.compile(
     re.I | re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_WORD = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _MARKS = re.compile(r"[.,;:!?…。，、]")
 
@@ -89,20 +94,51 @@ def _step(tag: str, rest: str) -> str:
     return ".".join([tag, *names])
 
 
-def _is_aside(path: tuple[str, ...]) -> bool:
-    """Whether a step of the path names itself something else than article. A header within an article
-    is the article's own."""
+@lru_cache(maxsize=1 << 14)
+def _aside_share(step: str) -> float:
+    """Up to which share of the page's text a container of these names is an aside."""
+    tag, *names = step.split(".")
+    if tag in FRAME_TAGS:
+        return 0.0
+    if any(name in ASIDE_WORDS for name in names):
+        return 1 - THRESHOLD
+    return 0.5 if any(w in ASIDE_WORDS for name in names for w in _WORD.split(name)) else 0.0
+
+
+def _in_aside_tag(path: tuple[str, ...]) -> bool:
+    """Whether a tag of the path is something else than article. A header within an article is the
+    article's own."""
     inside = False
     for step in path:
-        tag, *names = step.split(".")
-        if any(w in ASIDE_WORDS for name in names for w in re.split(r"[^a-z0-9]+", name)):
-            return True
+        tag = step.split(".", 1)[0]
         if tag in ASIDE_TAGS and not (tag == "header" and inside):
             return True
         inside = inside or tag in CONTENT_TAGS
     return False
 
 
+def _asides(lengths: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
+    """The paths, given with the length of their text, of which a step names itself something else
+    than article."""
+    out = {path for path in lengths if _in_aside_tag(path)}
+    total = sum(length for path, length in lengths.items() if path not in out)
+    containers: dict[tuple[int, str], int] = {}
+    held: dict[int, int] = defaultdict(int)
+    for path, length in lengths.items():
+        at = 0
+        for step in path:
+            at = containers.setdefault((at, step), len(containers) + 1)
+            held[at] += 0 if path in out else length
+    for path in lengths:
+        at = 0
+        for step in path:
+            at = containers[at, step]
+            if (share := _aside_share(step)) and held[at] <= share * total:
+                out.add(path)
+                break
+    return out
+
+
 def leaves(page: str) -> list[Leaf]:
     """The blocks of a page in page order."""
     out: list[Leaf] = []
@@ -171,8 +207,9 @@ def path_ratios(blocks: list[Leaf]) -> dict[tuple[str, ...], float]:
         s[1] += len(leaf.text)
         s[2] += len(_MARKS.findall(leaf.text))
         s[3] += leaf.linked
+    asides = _asides({path: length for path, (_, length, _, _) in sums.items()})
     return {
-        path: 0.0 if _is_aside(path) else length / n * (1 + marks / n) * (1 - linked / length)
+        path: 0.0 if path in asides else length / n * (1 + marks / n) * (1 - linked / length)
         for path, (n, length, marks, linked) in sums.items()
     }
 

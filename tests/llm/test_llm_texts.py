@@ -226,6 +226,29 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "opened, closed",
+    [
+        ('<body class="has-sidebar">', ""),
+        ('<html class="no-cookie"><body id="page-header">', ""),
+        ('<main class="with-ads">', "</main>"),
+        ('<article class="post comments-open">', "</article>"),
+        ('<body><div class="page-with-sidebar">', "</div>"),
+        ('<body><div class="widget">', "</div>"),
+    ],
+)
+def test_names_of_what_holds_the_page_are_no_asides(opened, closed):
+    story = "<h1>Title</h1><p>A long text, here. And some more of it.</p><p>The end, at last.</p>"
+    aside = '<div class="sidebar"><p>Other, things.</p></div>'
+    expected = "Title\nA long text, here. And some more of it.\nThe end, at last."
+    assert html_text.main_text(opened + story + aside + closed) == expected
+
+
+def test_comments_that_outweigh_the_text_stay_asides():
+    page = "<div class=story><p>A short text, here.</p></div><div id=comments><p>I disagree, strongly, with it all.</p></div>"
+    assert html_text.main_text(page) == "A short text, here."
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, text int"
     pages = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, None)], schema)
