@@ -7,8 +7,10 @@ that names itself navigation, header, footer, advert, comments and the like get
 article do not count, nor does a name like has-sidebar on a container with over half of the page's text outside aside
 tags, nor a plain one like comments, which may outweigh a short article, if hardly any text is left beside it. Ratios are smoothed over
 neighbouring leaves in page order, so a heading between paragraphs is not lost, and fused per container: the
-containers whose fused ratio reaches ``THRESHOLD`` of the page's highest select the content, and every block
-under their lowest common container is content, except those of ratio 0.
+containers whose fused ratio reaches ``THRESHOLD`` of the page's highest select the content. Every block under their
+lowest common container is content, except asides: an article or main is taken whole; any other container is widened
+to its parent as long as the parent adds neither asides nor blocks that are all links, and in it such blocks are
+content only as headings or beside chosen text.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by one line
 feed in page order; nothing else is dropped. Each page is worked on alone and whole.
@@ -56,6 +58,7 @@ ASIDE_WORDS = {
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 CONTENT_TAGS = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 FRAME_TAGS = {"html", "body", *CONTENT_TAGS}
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2",
@@ -198,8 +201,9 @@ def leaves(page: str) -> list[Leaf]:
     return out
 
 
-def path_ratios(blocks: list[Leaf]) -> dict[tuple[str, ...], float]:
-    """Characters per leaf of each path, by punctuation and by text outside links; 0 for asides."""
+def path_ratios(blocks: list[Leaf]) -> tuple[dict[tuple[str, ...], float], set[tuple[str, ...]]]:
+    """Characters per leaf of each path, by punctuation and by text outside links, 0 for asides;
+    and the asides."""
     sums: dict[tuple[str, ...], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
     for leaf in blocks:
         s = sums[leaf.path]
@@ -208,15 +212,36 @@ def path_ratios(blocks: list[Leaf]) -> dict[tuple[str, ...], float]:
         s[2] += len(_MARKS.findall(leaf.text))
         s[3] += leaf.linked
     asides = _asides({path: length for path, (_, length, _, _) in sums.items()})
-    return {
+    ratio = {
         path: 0.0 if path in asides else length / n * (1 + marks / n) * (1 - linked / length)
         for path, (n, length, marks, linked) in sums.items()
     }
+    return ratio, asides
+
+
+def _is_heading(path: tuple[str, ...]) -> bool:
+    return bool(path) and path[-1].split(".", 1)[0] in HEADINGS
+
+
+def _widened(
+    root: tuple[str, ...], ratio: dict[tuple[str, ...], float], asides: set[tuple[str, ...]]
+) -> tuple[str, ...]:
+    """The root's outermost container of which the leaves outside the root are neither asides nor,
+    but for headings, all links."""
+    shared = []  # of each path that ends it: how many steps it has in common with the root
+    for path, value in ratio.items():
+        k = 0
+        while k < min(len(root), len(path)) and root[k] == path[k]:
+            k += 1
+        if path in asides or not (value or _is_heading(path)):
+            shared.append(k)
+    ends = [k for k in shared if k < len(root)]
+    return root[: max(ends) + 1] if ends else ()
 
 
 def content(blocks: list[Leaf]) -> list[Leaf]:
     """The blocks of the main text."""
-    ratio = path_ratios(blocks)
+    ratio, asides = path_ratios(blocks)
     if not any(ratio.values()):
         return []
     raw = [math.log1p(ratio[leaf.path]) for leaf in blocks]
@@ -249,11 +274,21 @@ def content(blocks: list[Leaf]) -> list[Leaf]:
             k += 1
         root = root[:k]
     # a named article is taken whole, however its text is spread inside it
+    whole = False
     for k, step in enumerate(root):
         if step.split(".")[0] in CONTENT_TAGS:
-            root = root[: k + 1]
+            root, whole = root[: k + 1], True
             break
-    return [leaf for leaf in blocks if ratio[leaf.path] and leaf.path[: len(root)] == root]
+    held = set(chosen)
+    if not whole:
+        root = _widened(root, ratio, asides)
+    return [
+        leaf
+        for leaf in blocks
+        if leaf.path not in asides
+        and leaf.path[: len(root)] == root
+        and (ratio[leaf.path] or whole or leaf.path[:-1] in held or _is_heading(leaf.path))
+    ]
 
 
 def main_text(page: str | None) -> str:

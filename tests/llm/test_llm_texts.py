@@ -249,6 +249,23 @@ def test_comments_that_outweigh_the_text_stay_asides():
     assert html_text.main_text(page) == "A short text, here."
 
 
+LONG = "A long text, here. And some more of it, and more, and more. The end, at last, of a long text."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<nav>N</nav><div id=content><h1>Title</h1><div class=body><p>{LONG}</p></div></div>", f"Title\n{LONG}"),
+        (f"<nav>N</nav><div><div><p>Lead.</div><h2><a href=/>T</a></h2><div><div><p>{LONG}</div></div></div>", f"Lead.\nT\n{LONG}"),
+        (f"<div><div><p><a href=/>Home</a></div><div class=body><p>{LONG}</div></div>", LONG),
+        (f"<article><h1><a href=/>T</a></h1><p>{LONG}</p><ul><li><a href=/>x</a></ul><nav>N</nav></article>", f"T\n{LONG}\nx"),
+        (f"<nav>N</nav><div><h2><a href=/>T</a></h2><p>{LONG}</p></div>", f"T\n{LONG}"),
+    ],
+)
+def test_headlines_and_links_of_the_text_stay(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, text int"
     pages = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, None)], schema)
