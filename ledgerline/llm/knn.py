@@ -5,7 +5,7 @@ component, sqrt(M^2 - |v|^2), and a query a 0: then the k highest inner products
 distance, and the triangle inequality holds.
 
 ``PIVOTS`` data vectors split data and queries into Voronoi cells. A cell's summary is its smallest distances to the pivot and the
-largest; from these alone each group of queries gets a bound on the distance of its k-th neighbour. A data vector is copied to
+largest, of different ids; from these alone each group of queries gets a bound on the distance of its k-th neighbour. A data vector is copied to
 a group only if its distance to its pivot allows it to lie within that bound. Groups hold at most ``GROUP_QUERIES``
 queries and data is dealt in slices of about ``SLICE_ROWS`` rows, so a crowded cell is no crowded task. A task
 visits cells nearest first and skips those its queries' best scores so far rule out; the best of all slices
@@ -109,28 +109,38 @@ def _assigned(rows: DataFrame, space: Space, queries: bool) -> DataFrame:
     return rows.mapInArrow(run, "vec_id long, data binary, cell long, r double")
 
 
-def _smallest(data: DataFrame, k: int) -> dict[int, list[float]]:
-    """The k smallest distances to the pivot in each cell: k rows of each task and cell, then of
-    each cell."""
+def _of_ids(r: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k smallest distances of different ids, and the ids."""
+    order = np.lexsort((ids, r))
+    r, ids = r[order], ids[order]
+    kept = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return r[kept], ids[kept]
+
+
+def _smallest(data: DataFrame, k: int) -> dict[int, list[tuple[float, int]]]:
+    """The k smallest distances to the pivot in each cell, of different ids, and these ids: k of
+    each task and cell, then of each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            cell, r = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cell, r, ids = (column.to_numpy() for column in batch.columns)
             for c in np.unique(cell):
-                merged = np.concatenate([held.get(c, np.zeros(0)), r[cell == c]])
-                held[c] = np.sort(merged)[:k]
-        cells = [int(c) for c, rs in held.items() for _ in rs]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cells, pa.int64()), pa.array([x for rs in held.values() for x in rs], pa.float64())],
-            names=["cell", "r"],
-        )
+                old = held.get(c, (np.zeros(0), np.zeros(0, np.int64)))
+                new = r[cell == c], ids[cell == c]
+                held[c] = _of_ids(*(np.concatenate(x) for x in zip(old, new, strict=True)), k)
+        for c, (r, ids) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(r), c, np.int64)), pa.array(r), pa.array(ids)],
+                names=["cell", "r", "vec_id"],
+            )
 
-    best = data.select("cell", "r").mapInArrow(run, "cell long, r double")
+    best = data.select("cell", "r", "vec_id").mapInArrow(run, "cell long, r double, vec_id long")
+    best = best.groupBy("cell", "vec_id").agg(F.min("r").alias("r"))
     lists = best.groupBy("cell").agg(
-        F.slice(F.sort_array(F.collect_list("r")), 1, k).alias("r")
+        F.slice(F.sort_array(F.collect_list(F.struct("r", "vec_id"))), 1, k).alias("r")
     )
-    return {row["cell"]: list(row["r"]) for row in lists.collect()}  # PIVOTS rows
+    return {row["cell"]: [(r, i) for r, i in row["r"]] for row in lists.collect()}  # PIVOTS rows
 
 
 def _best(
@@ -162,7 +172,7 @@ def _best(
 
 
 def _solve(
-    queries: pa.Table, data: pa.Table, space: Space, near: dict[int, list[float]], k: int
+    queries: pa.Table, data: pa.Table, space: Space, near: dict[int, list[tuple[float, int]]], k: int
 ) -> pa.Table:
     query_ids = queries.column("vec_id").to_numpy()
     q = _matrix(queries.column("data").combine_chunks(), space.width)
@@ -172,9 +182,11 @@ def _solve(
     order = np.lexsort((ids, cell))
     x, ids, cell, r = x[order], ids[order], cell[order], r[order]
     # one neighbour more than asked for, as the query itself may be among them
-    reach = np.sort(
-        np.concatenate([to_pivot[:, [c]] + np.array(rs) for c, rs in near.items()], axis=1), axis=1
-    )
+    reach = np.concatenate([to_pivot[:, [c]] + [r for r, _ in rs] for c, rs in near.items()], axis=1)
+    who = np.array([i for rs in near.values() for _, i in rs], np.int64)
+    by_id = np.argsort(who, kind="stable")
+    _, first = np.unique(who[by_id], return_index=True)
+    reach = np.sort(np.minimum.reduceat(reach[:, by_id], first, axis=1), axis=1)
     limit = reach[:, k] if reach.shape[1] > k else np.full(len(q), np.inf)
     cells, starts = np.unique(cell, return_index=True)
     ends = np.append(starts[1:], len(cell))
@@ -217,7 +229,9 @@ def top_k(
     """``query_id, rank, vec_id, score``. ``is_query`` is a condition on ``vec_id``."""
     spark = table.sparkSession
     vectors = cut(integer_vectors(table), "vectors")
-    picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).toPandas()
+    ids = vectors.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots)
+    picked = vectors.where(F.col("vec_id").isin([row["vec_id"] for row in ids.collect()]))
+    picked = picked.groupBy("vec_id").agg(F.min("data").alias("data")).orderBy("vec_id").toPandas()
     width = int(vectors.agg(F.max("dims")).first()[0] or 0)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not len(picked) or not width:
@@ -245,7 +259,8 @@ def top_k(
             block, free = block + 1, group_queries
         parts = max(1, math.ceil(n / group_queries))
         deals.append((int(i), block, parts))
-        reach = sorted(far + between[i][j] + r for j, rs in near.items() for r in rs)
+        found = [(far + between[i][j] + r, who) for j, rs in near.items() for r, who in rs]
+        reach, _ = _of_ids(*(np.array(x) for x in zip(*found, strict=True)), k + 1)
         limit = (reach[k] if len(reach) > k else math.inf) * (1 + SLACK) + SLACK
         for j in near:
             low, high = between[i][j] - far - limit, between[i][j] + far + limit

@@ -143,6 +143,27 @@ def test_search_against_all_pairs(spark, parts):
     assert knn.top_k(table.limit(0), F.expr("vec_id % 5 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("parts", [{}, {"n_pivots": 4, "group_queries": 3, "slice_rows": 20}])
+def test_search_among_repeated_ids(spark, parts):
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(40, 4))
+    points = (5 * points / np.sqrt((points**2).sum(axis=1))[:, None]).round(2).tolist()
+    rows = list(enumerate(points))
+    for k in range(0, 40, 5):
+        rows += [(k, points[k])] * 8  # a query's own
+        rows += [(100 + k, points[k])] * 8
+    rows += [(301, [1.0, 2.0, 3.0, 2.0])] * 200
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = knn.top_k(table, F.expr("vec_id % 5 = 0"), 5, **parts)
+    assert {r for r in map(tuple, found.collect())} == brute(rows, 5)
+
+
+def test_bounds_rest_on_different_ids(spark):
+    rows = [(0, 0.5, 7), (0, 0.1, 7), (0, 0.1, 7), (0, 0.2, 9), (0, 0.3, 8), (1, 0.4, 7)]
+    data = spark.createDataFrame(rows, "cell long, r double, vec_id long")
+    assert knn._smallest(data, 2) == {0: [(0.1, 7), (0.2, 9)], 1: [(0.4, 7)]}
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 9), (20, 21), (5, 5)] + [(100 + k, 101 + k) for k in range(40)]
     found = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
