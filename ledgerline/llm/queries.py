@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
-    hilbert, html_text, jaccard, knn, mixing, packing, pfor, quality_classifier, quality_rules,
+    fim, hilbert, html_text, jaccard, knn, mixing, packing, pfor, quality_classifier, quality_rules,
     toxicity,
 )
 from ledgerline.llm.ship import ship
@@ -106,6 +106,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.fill_in_middle(documents).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: _shipped(q)
     for q in (
@@ -119,6 +132,7 @@ QUERIES: dict[str, Query] = {
         op8_source_mix,
         op9_toxicity,
         op10_ngram_jaccard,
+        op11_fill_in_middle,
     )
 }
 
@@ -209,6 +223,39 @@ ORACLE_SQL: dict[str, str] = {
         left join taken on size > 0 and laid.place = taken.place
             and laid.source is not distinct from taken.source
     """,
+    "op11_fill_in_middle": """
+        with hashed as (
+            select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+                sha256('1:' || coalesce(doc_id::varchar, '')) as digits
+            from documents
+        ),
+        drawn as (
+            select *, list_transform([0, 1, 2, 3],
+                lambda k: ('0x' || substring(digits, 8 * k + 1, 8))::bigint) as h
+            from hashed
+        ),
+        cuts as (
+            select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a,
+                greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+                case when n = 0 or contains(text, '<P>') or contains(text, '<S>')
+                        or contains(text, '<M>') or h[3] % 100 >= 90 then 'plain'
+                    when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+            from drawn
+        ),
+        parts as (
+            select *, substring(text, 1, a) as prefix, substring(text, a + 1, b - a) as middle,
+                substring(text, b + 1) as suffix
+            from cuts
+        )
+        select doc_id, n::bigint as n, form,
+            case when form != 'plain' then a end::bigint as prefix_chars,
+            case when form != 'plain' then b - a end::bigint as middle_chars,
+            sha256(case form when 'plain' then text
+                when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+            sha256(text) as restored_sha256
+        from parts
+    """,
     "op10_ngram_jaccard": f"""
         with recursive worded as (
             select doc_id, {_WORDS.format(f"translate(text, '{_UPPER}', '{_LOWER}')")} as w
