@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The catalogue's names of bucketed tables, by application.
+_tables: dict[str, list[str]] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session. Only a local session may do without one."""
@@ -26,8 +29,9 @@ def _folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/ledgerline/{spark.sparkContext.applicationId}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def cut(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back. ``by`` are columns that get a
+    folder for each value, of which a filter reads only its own.
 
     Unlike a cached DataFrame the result survives the loss of executors without being
     computed again, and unlike a checkpoint it is columnar, so every reader prunes it.
@@ -36,11 +40,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed_cut(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """A cut table in sorted buckets by ``keys``. Tables with as many buckets by the same keys are merged
+    or joined on them without a shuffle. A bucket is one file if ``df`` is shuffled by the keys."""
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", f"{_folder(spark)}/{table}")
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return spark.table(table)
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete the cut tables of this application, once nothing is read from them any more."""
+    for table in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
