@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
-    fim, hilbert, html_text, jaccard, knn, mixing, packing, pfor, quality_classifier, quality_rules,
+    fim, hilbert, html_text, jaccard, knn, line_dedup, mixing, packing, pfor, quality_classifier, quality_rules,
     toxicity,
 )
 from ledgerline.llm.ship import ship
@@ -119,6 +119,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.dedup_lines(documents)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: _shipped(q)
     for q in (
@@ -133,6 +139,7 @@ QUERIES: dict[str, Query] = {
         op9_toxicity,
         op10_ngram_jaccard,
         op11_fill_in_middle,
+        op13_line_dedup,
     )
 }
 
@@ -256,6 +263,28 @@ ORACLE_SQL: dict[str, str] = {
             sha256(text) as restored_sha256
         from parts
     """,
+    "op13_line_dedup": f"""
+        with lines as (
+            select doc_id, unnest(l) as line, generate_subscripts(l, 1) as pos
+            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
+        ),
+        keyed as (
+            select *, trim(translate(line, '{_UPPER}', '{_LOWER}'), ' ' || chr(9) || chr(10) || chr(11)
+                || chr(12) || chr(13)) as key
+            from lines
+        ),
+        often as (
+            select key, max(doc_id) as keeper from keyed where length(key) >= 20
+            group by key having count(distinct doc_id) >= 3
+        ),
+        marked as (
+            select keyed.*, coalesce(doc_id != keeper, false) as gone
+            from keyed left join often on keyed.key = often.key
+        )
+        select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+        from marked group by doc_id
+    """,
     "op10_ngram_jaccard": f"""
         with recursive worded as (
             select doc_id, {_WORDS.format(f"translate(text, '{_UPPER}', '{_LOWER}')")} as w

@@ -1,0 +1,107 @@
+"""Line dedup against plain Python, its runs, and its plan."""
+
+import random
+import sys
+from collections import defaultdict
+from hashlib import sha256
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from odd import DOCUMENTS, documents  # noqa: E402
+
+from ledgerline.llm import line_dedup  # noqa: E402
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line: str) -> str:
+    return line.translate(FOLD).strip(" \t\n\x0b\x0c\r")
+
+
+def expected(rows: list[tuple]) -> list[tuple]:
+    ids = defaultdict(set)
+    for row in rows:
+        for line in (row[1] or "").split("\n"):
+            ids[key(line)].add(row[0])
+    keeper = {
+        k: max((i for i in docs if i is not None), default=None)
+        for k, docs in ids.items()
+        if len(k) >= 20 and len(docs) >= 3
+    }
+    out = []
+    for row in rows:
+        lines = (row[1] or "").split("\n")
+        kept = [x for x in lines if key(x) not in keeper or keeper[key(x)] == row[0]]
+        out.append((row[0], len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def shared(n: int = 90, seed: int = 2) -> list[tuple]:
+    """Texts of lines from a small stock, one of them in every text and one in a third."""
+    rng = random.Random(seed)
+    stock = [f"line {k} of the stock, long enough" for k in range(60)]
+    stock += ["nineteen chars here", "twenty characters ok", "日" * 19, "日" * 20, "", " ", "x"]
+    rows = []
+    for k in range(n):
+        lines = rng.choices(stock, k=rng.randint(0, 12)) + [f"only in document number {k}"]
+        lines += ["THE SAME Line in every document\t", "  the same line in every document"]
+        lines += ["a line of every third document"] * (3 if k % 3 == 0 else 0)
+        rng.shuffle(lines)
+        ends = rng.choice(["", "\n", "\r\n", "\n\n"])
+        rows.append((k if k % 10 else None if k % 20 else -k, "\n".join(lines) + ends, "en", "s", 1, "x", 7))
+    return rows
+
+
+def found(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.select("doc_id", "n_lines", "n_dropped", "text").collect()), key=repr)
+
+
+@pytest.mark.parametrize(("batches", "hot_keys"), [(1, 1), (4, 5), (7, 100_000)])
+def test_lines_against_plain_python(spark, batches, hot_keys):
+    rows = documents() + shared() + shared()[:5]
+    docs = spark.createDataFrame(rows, DOCUMENTS).withColumnRenamed("kept", "n_dropped")
+    made = line_dedup.dedup_lines(docs, batches=batches, hot_keys=hot_keys)
+    assert made.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "n_lines", "n_dropped"]
+    assert found(made) == expected(rows)
+    digest = made.where("doc_id = 1").select(F.sha2("text", 256)).first()[0]
+    assert digest == sha256(next(r[3] for r in expected(rows) if r[0] == 1).encode()).hexdigest()
+
+
+def test_empty_table(spark):
+    assert line_dedup.dedup_lines(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+def test_runs_are_compacted_by_level(spark):
+    runs = line_dedup.Runs(spark, min_docs=3, fan=2)
+    held = []
+    for batch in range(5):
+        rows = [(bytes([k]), 100 - 10 * batch - k % 2) for k in range(8) for _ in range(2) if k >= batch]
+        runs.add(spark.createDataFrame(rows, "key binary, doc_id long"))
+        held.append([len(level) for level in runs.levels])
+    assert held == [[1], [0, 1], [1, 1], [0, 0, 1], [1, 0, 1]]
+    sealed = {bytes(r["key"])[0]: (r["docs"], r["keeper"]) for r in runs.sealed().collect()}
+    # settled once three documents are in one run: the fourth batch's run is the first to see so
+    assert sealed[0] == (1, 100) and sealed[1] == (2, 99) and sealed[7] == (4, 99)
+
+
+def test_runs_are_joined_without_shuffling_them(spark, capsys):
+    runs = line_dedup.Runs(spark, min_docs=1, fan=9)
+    for batch in range(2):
+        runs.add(spark.range(1000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("key"), (-F.col("id") - batch).alias("doc_id")))
+    a, b = runs.live()
+    a.join(b.hint("merge"), "key", "full").explain()
+    assert "Exchange" not in capsys.readouterr().out
+    batch = a.select("key", F.lit(1).alias("doc_id"))
+    runs.unsettled(batch).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("SortMergeJoin") == 2 and plan.count("LeftAnti") == 2
+    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_plan_runs_no_python(spark, capsys):
+    line_dedup.dedup_lines(spark.createDataFrame(documents(), DOCUMENTS)).explain()
+    assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Pandas"))
