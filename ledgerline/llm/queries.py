@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.llm import (
     fim, hilbert, html_text, jaccard, knn, line_dedup, mixing, packing, pfor, quality_classifier, quality_rules,
-    toxicity,
+    toxicity, vector_codes,
 )
 from ledgerline.llm.ship import ship
 from ledgerline.llm.tables import unsigned_remainder
@@ -119,6 +119,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, codebooks = vector_codes.vector_codes(vectors)
+    summed = vector_codes.with_label_errors(cut(codes, "codes"))
+    digest = F.lit(vector_codes.codebooks_sha256(codebooks))
+    return summed.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(documents)
@@ -139,6 +147,7 @@ QUERIES: dict[str, Query] = {
         op9_toxicity,
         op10_ngram_jaccard,
         op11_fill_in_middle,
+        op12_vector_codes,
         op13_line_dedup,
     )
 }
@@ -146,7 +155,61 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Every round as tables: all parts with their nearest entry, and the entries after it."""
+    steps = [
+        """whole as (
+            select vec_id, label, row_number() over (order by vec_id) as place,
+                list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        parts as (
+            select place, vec_id, label, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] as x
+            from whole, range(4) t(p)
+        ),
+        book0 as materialized (select p, place - 1 as e, x from parts where place <= 256)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""near{k} as materialized (
+            select place, parts.p, any_value(parts.x) as x, min(struct_pack(
+                d := list_sum(list_transform(list_zip(parts.x, b.x),
+                    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint,
+                e := b.e)) as found
+            from parts join book{k} b on b.p = parts.p group by place, parts.p
+        )"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""book{k + 1} as materialized (
+            select b.p, b.e, coalesce(m.x, b.x) as x
+            from book{k} b left join (
+                select p, e, list((s - (s % n + n) % n) // n order by i) as x from (
+                    select p, found.e as e, i, sum(x[i])::bigint as s, count(*) as n
+                    from near{k}, range(1, 1 + (select max(len(x)) from parts)) t(i) group by all
+                ) group by all
+            ) m on b.p = m.p and b.e = m.e
+        )"""
+            )
+    return f"""
+        with {", ".join(steps)},
+        coded as (
+            select place, string_agg(printf('%02x', found.e), '' order by p) as code,
+                sum(found.d)::bigint as error
+            from near{rounds} group by place
+        )
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+            (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) from book{rounds})
+                as codebooks_sha256
+        from coded join whole using (place)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_vector_codes": _codes_sql(),
     "op4_voronoi_knn": """
         with whole as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
