@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Bytes of text a task works on at once. A longer text is still worked on whole, alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -26,19 +28,31 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of a part come to CHUNK_BYTES at most, or are one text."""
+def chunks(
+    batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that the texts of a part come to ``size`` bytes at most, or are one text."""
     if not batch.num_rows:
         return
     _, bounds = text_bytes(batch.column(column))
     first = 0
     while first < batch.num_rows:
-        last = int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1
+        last = int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1
         last = min(max(last, first + 1), batch.num_rows)
         yield batch.slice(first, last - first)
         first = last
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system, as Spark keeps workers for later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def per_text(
     df: DataFrame, column: str, schema: T.StructType, work: Callable[[pa.RecordBatch], dict]
 ) -> DataFrame:
@@ -52,6 +66,7 @@ def per_text(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[f.name], f.type) for f in target], schema=target
                 )
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -75,6 +90,7 @@ def append_columns(
                     [*part.columns, *(pa.array(made[f.name], f.type) for f in arrow)],
                     names=[*part.schema.names, *arrow.names],
                 )
+        release()
 
     return df.mapInArrow(run, target)
 

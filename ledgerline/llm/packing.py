@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerline.llm.arrow import chunks
+from ledgerline.llm.arrow import chunks, release
 from ledgerline.llm.tables import long_field
 from ledgerline.llm.tokens import encoder, vocabulary_path
 from ledgerline.operators.cuts import cut
@@ -311,6 +311,7 @@ def cut_pieces(
                     ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 

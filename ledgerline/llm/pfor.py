@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ledgerline.llm.arrow import chunks
+from ledgerline.llm.arrow import chunks, release
 from ledgerline.llm.tables import checked_broadcast, long_field, partition_starts
 from ledgerline.llm.tokens import encoder, vocabulary_path
 
@@ -40,6 +40,8 @@ BLOCK = 128
 PERCENTILE = 90
 END_ID = 2
 MAGIC = b"PFB1"
+#: Bytes of text that one segment is made of; a longer text is a segment of its own.
+SEGMENT_BYTES = 1 << 20
 
 _SEGMENT = T.StructType(
     [
@@ -168,7 +170,7 @@ def write_tokens(
         part, segment = TaskContext.get().partitionId(), 0
         model = encoder(vocabulary)
         for batch in batches:
-            for rows in chunks(batch, "text"):
+            for rows in chunks(batch, "text", SEGMENT_BYTES):
                 ids, bounds = model.encode(rows.column("text"), end_id)
                 doc_ids = rows.column("doc_id")
                 row = [part, segment, len(doc_ids), len(ids), pack_segment(doc_ids, ids, bounds)]
@@ -176,6 +178,7 @@ def write_tokens(
                     [pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema
                 )
                 segment += 1
+        release()
 
     (
         docs.select(F.col("doc_id").cast("long"), "text")

@@ -2,7 +2,8 @@
 
 The tokenizer's own steps never look across ASCII white space: its normalisers work on single
 characters and combining marks, and its split pattern leaves white space out of every piece. So the
-ids of a text are those of its words in turn, and a word met before need not be encoded again.
+ids of a text are those of its words in turn, and a word met before need not be encoded again. A word is found by its
+hash and then compared byte by byte; one whose hash belongs to another word is encoded by itself.
 ``tests/llm/test_tokens.py`` holds this against encoding whole texts.
 """
 
@@ -14,10 +15,10 @@ import numpy as np
 import pyarrow as pa
 
 from ledgerline.llm.arrow import text_bytes
-from ledgerline.llm.words import Words
+from ledgerline.llm.words import Words, same_blocks
 
-#: Distinct words a worker remembers; beyond, it starts anew. About 30 bytes each.
-REMEMBERED = 4_000_000
+#: Distinct words a worker remembers; beyond, it starts anew. About 70 bytes each.
+REMEMBERED = 500_000
 
 #: Words whose pieces are known without the tokenizer's own splitter: Latin letters, all of which
 #: the normalisers only put in lower case, then marks that form one piece.
@@ -42,6 +43,46 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of stretches that start at ``at`` and have these sizes, end to end."""
+    return np.arange(int(size.sum())) + np.repeat(at - (np.cumsum(size) - size), size)
+
+
+class Memory:
+    """Words by hash, in order, with their ids and their bytes."""
+
+    def __init__(self, keys=None, ids=None, size=None, blocks=None, length=None):
+        empty = np.zeros(0, np.int64)
+        self.keys = np.zeros(0, np.uint64) if keys is None else keys
+        self.ids = np.zeros(0, np.uint32) if ids is None else ids
+        self.size = empty if size is None else size
+        self.blocks = np.zeros(0, np.uint64) if blocks is None else blocks
+        self.length = empty if length is None else length
+        self.at = np.cumsum(self.size) - self.size
+        n_blocks = -(-self.length // 8)
+        self.first_block = np.cumsum(n_blocks) - n_blocks
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those not here."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, place, -1)
+
+    def joined(self, other: "Memory") -> "Memory":
+        """Both, which have no key in common."""
+        keys = np.concatenate([self.keys, other.keys])
+        order = np.argsort(keys, kind="stable")
+        size, length = (
+            np.concatenate([getattr(self, n), getattr(other, n)])[order] for n in ("size", "length")
+        )
+        at = np.concatenate([self.at, other.at + len(self.ids)])[order]
+        first = np.concatenate([self.first_block, other.first_block + len(self.blocks)])[order]
+        ids = np.concatenate([self.ids, other.ids])[_spread(at, size)]
+        blocks = np.concatenate([self.blocks, other.blocks])[_spread(first, -(-length // 8))]
+        return Memory(keys[order], ids, size, blocks, length)
+
+
 class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
@@ -52,24 +93,55 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        # new words go to a small memory, which joins the large one now and then
+        self.old, self.new = Memory(), Memory()
 
-    def _learn(self, words: Words, data: np.ndarray, keys: np.ndarray, first: np.ndarray) -> None:
+    def _learn(self, words: Words, data: np.ndarray, which: np.ndarray) -> Memory:
+        """The ids of some words, in the order of their hashes."""
+        which = which[np.argsort(words.hash[which], kind="stable")]
         raw = data.tobytes()
-        spans = zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)
-        texts = [raw[a:b].decode() for a, b in spans]
-        made = self._encode_words(texts)
+        spans = zip(words.start[which].tolist(), words.end[which].tolist(), strict=True)
+        made = self._encode_words([raw[a:b].decode() for a, b in spans])
         size = np.fromiter(map(len, made), np.int64, len(made))
-        at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for m in made for i in m), np.uint32)])
-        order = np.argsort(keys)
-        where = np.searchsorted(self.keys, keys[order])
-        self.keys = np.insert(self.keys, where, keys[order])
-        self.at = np.insert(self.at, where, at[order])
-        self.size = np.insert(self.size, where, size[order])
+        ids = np.fromiter((i for m in made for i in m), np.uint32)
+        blocks = words.blocks[_spread(words.first_block[which], words.n_blocks[which])]
+        return Memory(words.hash[which], ids, size, blocks, words.length[which])
+
+    def _remember(self, made: Memory) -> None:
+        self.new = self.new.joined(made)
+        if 4 * len(self.new.keys) > len(self.old.keys):
+            self.old, self.new = self.old.joined(self.new), Memory()
+
+    def _ids_of(self, words: Words, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, no two of one hash, end to end, and how many each has."""
+        if len(self.old.keys) + len(self.new.keys) + len(which) > self.remembered:
+            self._forget()
+        keys = words.hash[which]
+        alone = np.zeros(len(which), bool)
+        known = np.zeros(len(which), bool)
+        for memory in (self.old, self.new):
+            place = memory.find(keys)
+            here = np.flatnonzero(place >= 0)
+            known[here] = True
+            alone[here] = ~same_blocks(
+                words.blocks, words.first_block[which[here]], words.length[which[here]],
+                memory.blocks, memory.first_block[place[here]], memory.length[place[here]],
+            )
+        if not known.all():
+            self._remember(self._learn(words, data, which[~known]))
+        sources = [(m, np.where(alone, -1, m.find(keys))) for m in (self.old, self.new)]
+        if alone.any():
+            apart = self._learn(words, data, which[alone])
+            sources.append((apart, np.where(alone, apart.find(keys), -1)))
+        size = np.zeros(len(which), np.int64)
+        for memory, place in sources:
+            size[place >= 0] = memory.size[place[place >= 0]]
+        start = np.cumsum(size) - size
+        ids = np.zeros(int(size.sum()), np.uint32)
+        for memory, place in sources:
+            here = place >= 0
+            ids[_spread(start[here], size[here])] = memory.ids[_spread(memory.at[place[here]], size[here])]
+        return ids, size
 
     def _encode_words(self, texts: list[str]) -> list[list[int]]:
         made: list[list[int] | None] = [None] * len(texts)
@@ -101,24 +173,22 @@ class Encoder:
         data, bounds = text_bytes(column)
         words = Words(data, bounds)
         code, distinct = pd.factorize(words.hash)
-        if len(self.keys) + len(distinct) > self.remembered:
-            self._forget()
         first = np.zeros(len(distinct), np.int64)
         first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-        place = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == distinct[inside]
-        if not known.all():
-            self._learn(words, data, distinct[~known], first[~known])
-            place = np.searchsorted(self.keys, distinct)
-        at, size = self.at[place][code], self.size[place][code]
+        table, length = self._ids_of(words, data, first)
+        unlike = np.flatnonzero(~words.same(np.arange(len(code)), first[code]))
+        if len(unlike):  # another word of the same hash: a code of its own for each
+            raw = data.tobytes()
+            spans = zip(words.start[unlike].tolist(), words.end[unlike].tolist(), strict=True)
+            made = self._encode_words([raw[a:b].decode() for a, b in spans])
+            code[unlike] = len(length) + np.arange(len(unlike))
+            length = np.concatenate([length, [len(m) for m in made]]).astype(np.int64)
+            table = np.concatenate([table, np.fromiter((i for m in made for i in m), np.uint32)])
+        size = length[code]
+        ids = table[_spread((np.cumsum(length) - length)[code], size)]
         extra = 0 if end is None else 1
         per_doc = np.bincount(words.doc, size, words.n_docs).astype(np.int64) + extra
         ends = np.cumsum(per_doc)
-        total = int(size.sum())
-        from_word = np.repeat(np.cumsum(size) - size, size)
-        ids = self.ids[np.repeat(at, size) + np.arange(total) - from_word]
         if end is not None:
             out = np.full(int(ends[-1]) if len(ends) else 0, end, np.uint32)
             body = np.ones(len(out), bool)

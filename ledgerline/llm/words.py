@@ -1,8 +1,9 @@
 """Words of many texts at once, as 64-bit hashes, without a Python object for each word.
 
 A word is a longest run of bytes other than 20 and 09 to 0D (hexadecimal). Those never
-occur inside a UTF-8 character, so words of bytes are words of characters. Two different words or
-n-grams share a hash with probability 2^-64.
+occur inside a UTF-8 character, so words of bytes are words of characters. A word's hash is the sum of its blocks of eight
+bytes, each mixed with its place by a non-linear function, so no pattern of letters makes hashes equal; two different
+words or n-grams share one by chance, with probability 2^-64. Where that is not enough, ``same`` compares words byte by byte.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(256, dtype=np.uint64))
+#: Masks for the first 0 to 8 bytes of a block.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+BLOCK = 8
 
 
 class Words:
@@ -48,22 +51,34 @@ class Words:
         self.end = np.flatnonzero(last) + 1
         self.doc = np.searchsorted(bounds, self.start, "right") - 1
         self.counts = np.bincount(self.doc, minlength=self.n_docs)
-        self.hash = self._hashes(data, first)
+        self.length = self.end - self.start
+        self.n_blocks = -(-self.length // BLOCK)
+        self.first_block = np.cumsum(self.n_blocks) - self.n_blocks
+        self.blocks = self._blocks(data)
+        self.hash = self._hashes()
 
-    def _hashes(self, data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def _blocks(self, data: np.ndarray) -> np.ndarray:
+        """Eight bytes of a word in each, the last filled up with zeros."""
+        padded = np.concatenate([data, np.zeros(BLOCK, np.uint8)])
+        every = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+        self._place = np.arange(int(self.n_blocks.sum())) - np.repeat(self.first_block, self.n_blocks)
+        at = np.repeat(self.start, self.n_blocks) + self._place * BLOCK
+        left = np.repeat(self.end, self.n_blocks) - at
+        return every[at] & _FIRST[np.minimum(left, BLOCK)]
+
+    def _hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        longest = int((self.end - self.start).max())
-        place = np.full(longest, _MIX[0])
-        place[0] = 1
-        place = np.multiply.accumulate(place)
-        at = np.arange(len(data), dtype=np.int64)
-        at -= np.maximum.accumulate(np.where(first, at, 0))
-        at[~self.inside] = 0
-        value = _BYTE[data] * place[at]
-        value[~self.inside] = 0
-        total = np.add.reduceat(value, self.start)
-        return mix(total + (self.end - self.start).astype(np.uint64) * _STEP)
+        mixed = mix(self.blocks ^ mix(self._place.astype(np.uint64)))
+        total = np.add.reduceat(mixed, self.first_block)
+        return mix(total + self.length.astype(np.uint64) * _STEP)
+
+    def same(self, word: np.ndarray, like: np.ndarray) -> np.ndarray:
+        """Whether each of some words is byte for byte the word ``like`` of it."""
+        return same_blocks(
+            self.blocks, self.first_block[word], self.length[word],
+            self.blocks, self.first_block[like], self.length[like],
+        )
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-word windows within a text, and the place of their first word."""
@@ -80,6 +95,17 @@ class Words:
         return mix(total), at
 
 
+def same_blocks(blocks, at, length, others, other_at, other_length) -> np.ndarray:
+    """Whether the words that start at these blocks and have these lengths are equal, pair by pair."""
+    equal = length == other_length
+    pair = np.flatnonzero(equal)
+    n = -(-length[pair] // BLOCK)
+    owner = np.repeat(pair, n)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    equal[owner[blocks[at[owner] + place] != others[other_at[owner] + place]]] = False
+    return equal
+
+
 def count_in(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """How many flagged bytes each text has."""
     total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
