@@ -117,12 +117,16 @@ def _batch(docs: DataFrame, batches: int) -> Column:
 
 
 def repeated_lines(
-    lines: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, hot_keys: int = HOT_KEYS
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_docs: int = MIN_DOCS,
+    batches: int = BATCHES,
+    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """``doc_id, text_md5, pos`` of the lines to drop, from ``keyed_lines``."""
-    spark = lines.sparkSession
-    lines = cut(lines.withColumn("batch", _batch(lines, batches)), "keyed-lines", ["batch"])
-    runs = Runs(spark, min_docs)
+    """``doc_id, text_md5, pos`` of the lines to drop."""
+    lines = keyed_lines(docs, min_chars).withColumn("batch", _batch(docs, batches))
+    lines = cut(lines, "keyed-lines", ["batch"])
+    runs = Runs(docs.sparkSession, min_docs)
     for number in range(batches + 1):
         runs.add(lines.where(F.col("batch") == number))
     index = runs.sealed().where(F.col("docs") >= min_docs).select("key", "keeper")
@@ -154,7 +158,7 @@ def dedup_lines(
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """The table with ``text`` of the kept lines, ``n_lines`` (before) and ``n_dropped``."""
-    gone = repeated_lines(keyed_lines(docs, min_chars), min_docs, batches, hot_keys)
+    gone = repeated_lines(docs, min_chars, min_docs, batches, hot_keys)
     places = gone.groupBy("doc_id", "text_md5").agg(F.sort_array(F.collect_set("pos")).alias("_gone"))
     places = places.withColumnsRenamed({"doc_id": "_doc", "text_md5": "_md5"})
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (_text_md5() == F.col("_md5"))
