@@ -277,7 +277,7 @@ def cut_pieces(
     schema = _PIECES
     if with_ids:
         schema = T.StructType(
-            [*_PIECES.fields, T.StructField("ids", T.ArrayType(T.LongType()))]
+            [*_PIECES.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +309,7 @@ def cut_pieces(
                 made += len(doc)
                 if with_ids:
                     ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int64)))
+                    columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         release()
 
