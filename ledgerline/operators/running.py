@@ -1,18 +1,18 @@
-"""Running totals in an order of day and id, safe for a key of any size.
+"""Running totals in an order of day and id, by distributed prefix sums, safe for a key of any size.
 
-A plain window by key would sort all rows of a key in one task. Here the rows are first
-summed per key and day, a frame the calendar bounds, and the window by key runs over
-the days. Within a day the rows are windowed on top of what the days before add up to.
-A day that is itself too large is cut into blocks of neighbouring ids, which are then
-treated like days.
+A plain window by key would sort all rows of a key in one task. Here the ledger is ranged by key, day and
+id and written with the number of each row's part: neighbours in the order lie in one part, and a key, a day
+or any kind of ids fills as many parts as its rows need. Sums by key and part, run over the
+parts of a key, open each part; within it the rows are windowed on top of that.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HOT_ROWS = 1_000_000
-BLOCK_CHARS = 6
+from .cuts import cut
+
+PART = "_part"
 
 
 def add_totals(left: Column, right: Column) -> Column:
@@ -20,144 +20,67 @@ def add_totals(left: Column, right: Column) -> Column:
     return F.when(left.isNull(), right).when(right.isNull(), left).otherwise(left + right)
 
 
-def _block(width: Column, row_id: str) -> Column:
-    """The ids' common prefix in a hot day, empty in an ordinary one. The prefix has one
-    length within a day, so blocks follow the order of the ids."""
-    return F.when(width.isNotNull(), F.left(F.col(row_id), width)).otherwise("")
+def in_parts(ledger: DataFrame, *, key: str, day: str, row_id: str) -> DataFrame:
+    """The ledger as a cut table in the order (key, day, id), with each row's part. Only rows equal in all
+    three cannot be parted. Spark chooses the number of parts as for any shuffle."""
+    ranged = ledger.repartitionByRange(key, day, row_id)
+    return cut(ranged.withColumn(PART, F.spark_partition_id()), "ledger-parts")
 
 
-def _hot_width(row_id: str, hot_rows: int) -> Column:
-    """Prefix length for a group of more than ``hot_rows`` rows, else NULL. Ids of a block
-    agree but for their last characters, so a block holds a million six-digit endings."""
-    return F.when(F.count(F.lit(1)) > hot_rows, F.max(F.length(row_id)) - BLOCK_CHARS)
+def _before(key: str, column: str) -> Column:
+    """The sum over the parts of a key before this one."""
+    parts = Window.partitionBy(key).orderBy(PART)
+    return F.sum(column).over(parts.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _running_in_blocks(
-    rows: DataFrame,
-    ledger: DataFrame,
-    key: list[str],
-    order: list[str],
-    row_id: str,
-    value: str,
-    out: str,
-) -> DataFrame:
-    group = [*key, *order, "_block"]
-    earlier = (
-        Window.partitionBy(*key)
-        .orderBy(*order, "_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    opening = (
-        ledger.groupBy(*group)
-        .agg(F.sum(value).alias("_net"))
-        .select(*group, F.sum("_net").over(earlier).alias("_opening"))
-    )
-    in_block = (
-        Window.partitionBy(*group)
-        .orderBy(row_id)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # The block must be a key of the shuffle, or a hot day would meet in one task again.
-    # The join and the window share that shuffle.
-    placed = rows.repartition(*group).join(opening, group, "left")
-    return placed.withColumn(
-        out, add_totals(F.col("_opening"), F.sum(value).over(in_block))
-    ).drop("_block", "_opening")
+def _within(rows: DataFrame, key: str, day: str, row_id: str, value: str) -> Column:
+    order = Window.partitionBy(key, PART).orderBy(day, row_id)
+    inside = F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return add_totals(F.col("_opening"), inside)
 
 
 def running_total(
-    rows: DataFrame,
-    ledger: DataFrame,
-    *,
-    key: str,
-    day: str,
-    row_id: str,
-    value: str,
-    out: str,
-    counted: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    parts: DataFrame, *, key: str, day: str, row_id: str, value: str, out: str
 ) -> DataFrame:
-    """Add ``out``, the running sum of ``value`` per ``key`` in the order (day, id).
-
-    ``ledger`` holds the same rows, cut to the columns named here. Rows that are not
-    ``counted`` have no value and are not in it; each is a block of its own, so they may
-    be as many as they like. Days of counted rows must not be NULL.
-    """
-    hot = (
-        ledger.groupBy(key, day)
-        .agg(_hot_width(row_id, hot_rows).alias("_width"))
-        .where(F.col("_width").isNotNull())
-    )
-
-    def blocked(df: DataFrame, alone: Column) -> DataFrame:
-        # at most one row per hot_rows rows of the ledger: a million for 10**12 rows
-        marked = df.join(F.broadcast(hot), [key, day], "left")
-        block = F.when(alone, F.col(row_id)).otherwise(_block(F.col("_width"), row_id))
-        return marked.withColumn("_block", block).drop("_width")
-
-    alone = F.lit(False) if counted is None else ~counted
-    return _running_in_blocks(
-        blocked(rows, alone), blocked(ledger, F.lit(False)), [key], [day], row_id, value, out
-    )
+    """Add ``out``, the running sum of ``value`` per ``key`` in the order (day, id), to a ledger from
+    ``in_parts``. Keys must not be NULL."""
+    sums = parts.groupBy(key, PART).agg(F.sum(value).alias("_net"))
+    opening = sums.select(key, PART, _before(key, "_net").alias("_opening"))
+    met = parts.join(opening, [key, PART])
+    return met.withColumn(out, _within(met, key, day, row_id, value)).drop(PART, "_opening")
 
 
 def first_crossing(
-    ledger: DataFrame,
-    *,
-    key: str,
-    day: str,
-    row_id: str,
-    value: str,
-    threshold: str,
-    hot_rows: int = HOT_ROWS,
+    parts: DataFrame, *, key: str, day: str, row_id: str, value: str, threshold: str
 ) -> DataFrame:
-    """Per key with any value the places (day, id) of two rows: ``first_value``, the first
-    one with a value, and ``crossing``, at which the running sum of ``value`` first
+    """Per key with any value the places (day, id) of two rows of a ledger from ``in_parts``: ``first_value``, the
+    first one with a value, and ``crossing``, at which the running sum of ``value`` first
     reaches ``threshold``.
 
-    Besides a key's first day only those are looked into on which the sum may reach the
-    threshold for the first time: they reach it counting their positive values alone, and
-    no day before ends at or above it. ``ledger`` is read several times and should be a
-    cut table.
+    Only those parts are looked into in which the sum may reach the threshold for the first time: they reach
+    it counting their positive values alone, and no part before ends at or above it.
     """
-    by_day = Window.partitionBy(key).orderBy(day)
+    here = place(F.col(day), F.col(row_id))
     by_key = Window.partitionBy(key)
-    days = (
-        ledger.groupBy(key, day)
-        .agg(
-            F.sum(value).alias("net"),
-            F.sum(F.greatest(F.col(value), F.lit(0))).alias("up"),
-            F.min(threshold).alias("least"),
-            _hot_width(row_id, hot_rows).alias("_width"),
-        )
-        .select(
-            "*",
-            F.sum("net")
-            .over(by_day.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("opening"),
-            F.min(F.when(F.col("net").isNotNull(), F.col(day))).over(by_key).alias("first_day"),
-        )
+    sums = parts.groupBy(key, PART).agg(
+        F.sum(value).alias("_net"),
+        F.sum(F.greatest(F.col(value), F.lit(0))).alias("_up"),
+        F.min(threshold).alias("_least"),
+        F.min(F.when(F.col(value).isNotNull(), here)).alias("first_value"),
     )
-    closes_above = add_totals(F.col("opening"), F.col("net")) >= F.col("least")
-    settled = F.min(F.when(closes_above, F.col(day))).over(by_key)
-    reaches = (add_totals(F.col("opening"), F.col("up")) >= F.col("least")) & (
-        F.col("settled").isNull() | (F.col(day) <= F.col("settled"))
+    opened = cut(sums.withColumn("_opening", _before(key, "_net")), "part-sums")
+    closes_above = add_totals(F.col("_opening"), F.col("_net")) >= F.col("_least")
+    reaches = add_totals(F.col("_opening"), F.col("_up")) >= F.col("_least")
+    settled = F.min(F.when(closes_above, F.col(PART))).over(by_key)
+    candidates = opened.withColumn("_settled", settled).where(
+        reaches & (F.col("_settled").isNull() | (F.col(PART) <= F.col("_settled")))
     )
-    is_first = F.col(day) == F.col("first_day")
-    candidates = (
-        days.withColumn("settled", settled)
-        .where(reaches | is_first)
-        .select(key, day, "opening", "first_day", "_width")
-    )
-    rows = ledger.join(candidates, [key, day]).withColumn("_block", _block(F.col("_width"), row_id))
-    within = _running_in_blocks(
-        rows, rows.where(F.col("_block") != ""), [key, day], [], row_id, value, "within"
-    )
-    total = add_totals(F.col("opening"), F.col("within"))
-    here = place(F.col(day), F.col(row_id))
-    return within.groupBy(key).agg(
-        F.min(F.when(total >= F.col(threshold), here)).alias("crossing"),
-        F.min(F.when(is_first & F.col(value).isNotNull(), here)).alias("first_value"),
+    rows = parts.join(candidates.select(key, PART, "_opening"), [key, PART])
+    total = rows.withColumn("_total", _within(rows, key, day, row_id, value))
+    crossings = total.where(F.col("_total") >= F.col(threshold)).groupBy(key)
+    valued = opened.groupBy(key).agg(F.min("first_value").alias("first_value"))
+    return valued.where("first_value is not null").join(
+        crossings.agg(F.min(here).alias("crossing")), key, "left"
     )
 
 

@@ -26,9 +26,8 @@ def flag_duplicate_refunds(
     transactions: DataFrame, among: DataFrame | None = None
 ) -> DataFrame:
     """Add ``is_duplicate_refund``: 1 on every refund of a payment but its first one, by
-    date and then id. Refunds are always in full, so a second one cannot be genuine. No
-    row is dropped. Ids are taken to be unique: copies of a row get the same flag. If
-    ``transactions`` is only a part of all, pass all of them as ``among``."""
+    date and then id, one of them where copies share that place. Refunds are always in full, so a second one cannot
+    be genuine. No row is dropped. ``among`` are the refunds of all transactions, if a slim table has them."""
     return flag_later_in_group(
         transactions,
         group="linked_transaction_id",

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import add_months_overflow
 from ..operators.asof import asof_join, daily_lookup
-from ..operators.cuts import cut
+from ..operators.cuts import bucketed_cut, cut
 from ..operators.linked import attach_linked, linked_rows
-from ..operators.running import HOT_ROWS, first_crossing, place, running_total
+from ..operators.running import first_crossing, in_parts, place, running_total
 from ..schemas import AMOUNT, MONEY
 from .staging import (
     flag_duplicate_refunds,
@@ -74,6 +74,17 @@ FACT = [
 ]
 
 
+#: The number that a written row keeps while its totals are computed.
+ROW = "_row"
+LINK = {"row_id": "transaction_id", "link": "linked_transaction_id"}
+LEDGER = {
+    "key": "client_id",
+    "day": "spend_effective_date",
+    "row_id": "transaction_id",
+    "value": "contract_spend_gbp",
+}
+
+
 @dataclass(frozen=True)
 class Inputs:
     """The raw tables and the rule table."""
@@ -85,16 +96,18 @@ class Inputs:
     types: DataFrame
 
 
-def linked_payments(transactions: DataFrame, resolutions: DataFrame) -> DataFrame:
+def linked_payments(
+    transactions: DataFrame, resolutions: DataFrame, links: DataFrame | None = None
+) -> DataFrame:
     """What a refund needs to know of the payment it reverses, one row per linked
-    transaction. All joins are on the transaction id."""
+    transaction. All joins are on the transaction id. ``links`` are the links of all, if a slim
+    table has them."""
     dated = linked_rows(
-        transactions,
+        transactions if links is None else links,
         transactions.select(
             "transaction_id", "transaction_date", "client_id", "platform_fee_margin"
         ),
-        row_id="transaction_id",
-        link="linked_transaction_id",
+        **LINK,
     ).join(resolutions.select("transaction_id", "resolution_date"), "transaction_id", "left")
     return dated.withColumn(
         "spend_effective_date", F.coalesce("resolution_date", "transaction_date")
@@ -106,24 +119,21 @@ def classify(
     resolutions: DataFrame,
     types: DataFrame,
     payments: DataFrame | None = None,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Apply the behaviour of each transaction's type: sign, settlement, eligibility.
 
     Resolutions, duplicate flags and linked payments are all looked up by transaction
-    id, so the transactions are shuffled once. If ``payments`` brings the payments' own
-    fee margin, it is carried along as ``linked_fee_margin``.
+    id, so the transactions are shuffled once.
     """
     if payments is None:
-        payments = cut(linked_payments(transactions, resolutions), "linked-payments")
-    names = {"transaction_date": "linked_payment_date"}
-    if "own_fee_margin" in payments.columns:
-        names["own_fee_margin"] = "linked_fee_margin"
+        payments = cut(linked_payments(transactions, resolutions, links), "linked-payments")
     rows = attach_linked(
         transactions.join(resolutions, "transaction_id", "left"),
         payments,
-        row_id="transaction_id",
-        link="linked_transaction_id",
-        names=names,
+        names={"transaction_date": "linked_payment_date"},
+        links=links,
+        **LINK,
     ).join(types, "transaction_type", "left")  # a file or inline table, so Spark knows it is small
 
     settled = (
@@ -146,7 +156,7 @@ def classify(
                 F.col("counts_toward_spend") * settled
             ),
         }
-    ).select(*CLASSIFIED, *(c for c in ["linked_fee_margin"] if c in rows.columns))
+    ).select(*CLASSIFIED)
 
 
 def daily_rates(rates: DataFrame) -> DataFrame:
@@ -227,8 +237,9 @@ def apply_windows(converted: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def spend_ledger(converted: DataFrame, windows: DataFrame) -> DataFrame:
-    """The rows of contracted clients, cut to what a running total needs."""
-    return (
+    """The rows of contracted clients, cut to what a running total needs and written in parts of its
+    order."""
+    rows = (
         apply_windows(converted, windows.withColumn("has_contract", F.lit(True)))
         .where(F.col("has_contract"))
         .where(F.col("spend_effective_date").isNotNull())
@@ -238,23 +249,17 @@ def spend_ledger(converted: DataFrame, windows: DataFrame) -> DataFrame:
             "transaction_id",
             "contract_spend_gbp",
             "spend_threshold",
+            *(c for c in [ROW] if c in converted.columns),
         )
     )
+    return in_parts(rows, **{k: v for k, v in LEDGER.items() if k != "value"})
 
 
-def contract_terms(windows: DataFrame, ledger: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def contract_terms(windows: DataFrame, ledger: DataFrame) -> DataFrame:
     """The contracts with the place at which each client's running spend first reaches
     its threshold. Spend that falls again later does not take the discount back, so
     this place alone tells which transactions have it."""
-    reached = first_crossing(
-        ledger,
-        key="client_id",
-        day="spend_effective_date",
-        row_id="transaction_id",
-        value="contract_spend_gbp",
-        threshold="spend_threshold",
-        hot_rows=hot_rows,
-    )
+    reached = first_crossing(ledger, threshold="spend_threshold", **LEDGER)
     return windows.join(reached, "client_id", "left")
 
 
@@ -266,28 +271,19 @@ def apply_terms(converted: DataFrame, terms: DataFrame) -> DataFrame:
     )
 
 
-def contract_spend(
-    converted: DataFrame, windows: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def contract_spend(converted: DataFrame, windows: DataFrame) -> DataFrame:
     """Contract spend of each transaction, its client's running spend up to it in the
     order transactions take effect, and whether the discount has been earned.
 
-    Rows without a contract take part in no group larger than themselves.
+    The rows are written once with a number each, by which their running totals, made of the slim
+    ledger of contracted rows, come back: ids may repeat or be NULL.
     """
-    ledger = cut(spend_ledger(converted, windows), "spend-ledger")
-    terms = cut(contract_terms(windows, ledger, hot_rows), "contract-terms")
-    rows = apply_terms(converted, terms.withColumn("has_contract", F.lit(True)))
-    return running_total(
-        rows,
-        ledger,
-        key="client_id",
-        day="spend_effective_date",
-        row_id="transaction_id",
-        value="contract_spend_gbp",
-        out="running_contract_spend_gbp",
-        counted=F.col("has_contract").isNotNull() & F.col("spend_effective_date").isNotNull(),
-        hot_rows=hot_rows,
-    ).select(*WITH_SPEND)
+    rows = cut(converted.withColumn(ROW, F.monotonically_increasing_id()), "converted-rows")
+    ledger = spend_ledger(rows, windows)
+    terms = cut(contract_terms(windows, ledger), "contract-terms")
+    running = running_total(ledger, out="running_contract_spend_gbp", **LEDGER)
+    totals = running.select(ROW, "running_contract_spend_gbp")
+    return apply_terms(rows, terms).join(totals, ROW, "left").select(*WITH_SPEND)
 
 
 def price_revenue(with_spend: DataFrame) -> DataFrame:
@@ -300,12 +296,11 @@ def price_revenue(with_spend: DataFrame) -> DataFrame:
         "own_fee_margin", _own_margin(F.col("is_in_contract_period") == 1, F.col("is_discount_earned"))
     )
     if "linked_fee_margin" not in own.columns:
-        keys = {"row_id": "transaction_id", "link": "linked_transaction_id"}
         margins = cut(
-            linked_rows(own, own.select("transaction_id", "own_fee_margin"), **keys),
+            linked_rows(own, own.select("transaction_id", "own_fee_margin"), **LINK),
             "linked-margins",
         )
-        own = attach_linked(own, margins, names={"own_fee_margin": "linked_fee_margin"}, **keys)
+        own = attach_linked(own, margins, names={"own_fee_margin": "linked_fee_margin"}, **LINK)
     recognised = F.col("is_revenue_recognised")
     priced = own.withColumns(
         {
@@ -319,30 +314,39 @@ def price_revenue(with_spend: DataFrame) -> DataFrame:
     )
 
 
-def fct_transactions(inputs: Inputs, hot_rows: int = HOT_ROWS) -> DataFrame:
+def fct_transactions(inputs: Inputs) -> DataFrame:
     """The transaction fact from the raw tables.
 
-    Equal to ``price_revenue(contract_spend(...))``, without the running total of every
-    row and with one lookup per refund for both its payment's date and its margin.
+    Equal to ``price_revenue(contract_spend(...))``, without the running total of every row. The raw
+    transactions are read three times: for the links, for the rows linked to, and for
+    classified, converted rows. These are written once, in buckets by id: the ledger reads
+    them, and the margins of linked payments meet them without another shuffle.
     """
     transactions = stage_transactions(inputs.transactions)
     resolutions = stage_resolutions(inputs.resolutions)
     windows = contract_windows(stage_contracts(inputs.contracts))
-    daily = daily_rates(stage_rates(inputs.rates))
-    payments = cut(linked_payments(transactions, resolutions), "linked-payments")
-
-    def converted(rows: DataFrame, known_payments: DataFrame) -> DataFrame:
-        flagged = flag_duplicate_refunds(rows, among=transactions)
-        return convert_to_gbp(classify(flagged, resolutions, inputs.types, known_payments), daily)
-
-    # clients without a contract are left out before anything is shuffled
-    contracted = transactions.join(windows.select("client_id"), "client_id", "left_semi")
-    ledger = cut(spend_ledger(converted(contracted, payments), windows), "spend-ledger")
-    terms = cut(contract_terms(windows, ledger, hot_rows), "contract-terms")
+    is_refund = F.col("transaction_type") == "refund"
+    links = cut(
+        transactions.where(F.col("linked_transaction_id").isNotNull() | is_refund).select(
+            "transaction_id", "linked_transaction_id", "transaction_type", "transaction_date"
+        ),
+        "links",
+    )
+    payments = cut(linked_payments(transactions, resolutions, links), "linked-payments")
+    flagged = flag_duplicate_refunds(transactions, among=links)
+    classified = classify(flagged, resolutions, inputs.types, payments, links)
+    rows = bucketed_cut(
+        convert_to_gbp(classified, daily_rates(stage_rates(inputs.rates))),
+        "converted",
+        ["transaction_id"],
+        int(transactions.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    )
+    terms = cut(contract_terms(windows, spend_ledger(rows, windows)), "contract-terms")
     in_period = _in_window("transaction_date")
     margins = payments.join(terms, "client_id", "left").select(
         "transaction_id",
-        "transaction_date",
         _own_margin(in_period, _discount_earned(in_period)).alias("own_fee_margin"),
     )
-    return price_revenue(apply_terms(converted(transactions, margins), terms))
+    names = {"own_fee_margin": "linked_fee_margin"}
+    priced = attach_linked(rows, cut(margins, "linked-margins"), names=names, links=links, **LINK)
+    return price_revenue(apply_terms(priced, terms))

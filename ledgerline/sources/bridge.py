@@ -82,6 +82,7 @@ def bridge_transactions(spark: SparkSession, sf_dir: str, dirty: bool = False) -
     rows = [base, F.when(is_refunded, refund), F.when(is_refunded & (k % 50 == 4), second)]
     if dirty:
         rows.append(F.when(k % 997 == 7, base))
+        rows.append(F.when(is_refunded & (k % 7 == 3), refund))
     return (
         _orders(spark, sf_dir)
         .select(F.explode(F.array_compact(F.array(*rows))).alias("row"))

@@ -49,11 +49,13 @@ CTES: dict[str, str] = {
             FROM ord)
         SELECT * EXCLUDE (k) FROM base
         UNION ALL SELECT * EXCLUDE (k) FROM base WHERE k % 997 = 7
-        UNION ALL SELECT * FROM tx_plain WHERE kind = 'refund'""",
+        UNION ALL SELECT * FROM tx_plain WHERE kind = 'refund'
+        UNION ALL SELECT * FROM tx_plain WHERE kind = 'refund' AND tid IN (
+            SELECT {_id('3*k+1')} FROM ord WHERE k % 7 = 3)""",
     "tx": """
         SELECT t.*, 0.2::DECIMAL(4,3) AS fee,
-               CASE WHEN kind = 'refund' AND (day, tid) <> (
-                   min((day, tid)) FILTER (kind = 'refund') OVER (PARTITION BY link))
+               CASE WHEN kind = 'refund' AND row_number() OVER (
+                   PARTITION BY kind, link ORDER BY day NULLS FIRST, tid NULLS FIRST) > 1
                THEN 1 ELSE 0 END AS dup
         FROM {tx_source} t""",
     "res_plain": f"""
@@ -484,6 +486,7 @@ DIRTY_SELECTS: dict[str, str] = {
     "dq_expression": f"""
         SELECT {_PLAIN_TX} FROM transactions
         WHERE NOT regexp_full_match(client_id, 'C[0-9]{{{ID_DIGITS}}}')""",
+    "classify_dirty": SELECTS["classify_transactions"],
     "dq_equal_rowcount": """
         SELECT *, abs(row_count - other_row_count) AS difference FROM (
             SELECT (SELECT count(*) FROM classified) AS row_count,

@@ -1,10 +1,13 @@
 import random
+from hashlib import md5
 from itertools import accumulate
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import CONVERTED, WINDOWS, columns, frame
-from ledgerline.operators.running import first_crossing, running_total
+from ledgerline.operators.running import first_crossing, in_parts, running_total
 from ledgerline.plans import transactions as tr
 
 
@@ -102,15 +105,32 @@ LEDGER = "c string, d date, id string, v decimal(18,2), t decimal(14,2)"
 NAMES = {"key": "c", "day": "d", "row_id": "id", "value": "v"}
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 7, 1])
-def test_running_total_and_crossing_against_brute_force(spark, hot_rows):
-    """Few days and many rows on each, with blocks in use and not."""
-    rng = random.Random(hot_rows)
+ORDER = {"key": "c", "day": "d", "row_id": "id"}
+IDS = {
+    "long": lambda i: f"T{i:09}",
+    "short": lambda i: f"T{i % 10**6:06}",
+    "md5": lambda i: md5(str(i).encode()).hexdigest(),
+}
+
+
+@pytest.fixture(params=[True, False], ids=["coalesced", "parted"])
+def parts(spark, request):
+    """With and without Spark putting small parts together."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("ids", IDS)
+def test_running_total_and_crossing_against_brute_force(spark, parts, ids):
+    """Few days and many rows on each."""
+    rng = random.Random(ids)
     rows = [
         {
             "c": rng.choice("ABBBBBB"),
             "d": f"2024-01-{rng.randrange(1, 5):02}",
-            "id": f"T{i:09}",
+            "id": IDS[ids](i),
             "v": None if rng.random() < 0.1 else rng.randrange(-50, 60),
             "t": 400,
         }
@@ -118,11 +138,11 @@ def test_running_total_and_crossing_against_brute_force(spark, hot_rows):
     ]
     ledger = frame(spark, LEDGER, rows)
     running = columns(
-        running_total(ledger, ledger, out="r", hot_rows=hot_rows, **NAMES), "r", key="id"
+        running_total(in_parts(ledger, **ORDER), out="r", **NAMES), "r", key="id"
     )
     crossings = {
         row.c: row
-        for row in first_crossing(ledger, threshold="t", hot_rows=hot_rows, **NAMES).collect()
+        for row in first_crossing(in_parts(ledger, **ORDER), threshold="t", **NAMES).collect()
     }
     expected, places = {}, {}
     for client in "AB":
@@ -147,7 +167,7 @@ def test_crossing_inside_a_day_that_ends_below(spark):
         {"c": "A", "d": "2024-01-02", "id": "T3", "v": -50, "t": 100},
         {"c": "A", "d": "2024-01-03", "id": "T4", "v": 500, "t": 100},
     ]
-    crossing = first_crossing(frame(spark, LEDGER, rows), threshold="t", **NAMES).first().crossing
+    crossing = first_crossing(in_parts(frame(spark, LEDGER, rows), **ORDER), threshold="t", **NAMES).first().crossing
     assert crossing.id == "T2"
 
 
@@ -156,5 +176,32 @@ def test_threshold_of_zero_is_reached_at_once(spark):
         {"c": "A", "d": "2024-01-01", "id": "T1", "v": 0, "t": 0},
         {"c": "A", "d": "2024-01-02", "id": "T2", "v": 20, "t": 0},
     ]
-    crossing = first_crossing(frame(spark, LEDGER, rows), threshold="t", **NAMES).first().crossing
+    crossing = first_crossing(in_parts(frame(spark, LEDGER, rows), **ORDER), threshold="t", **NAMES).first().crossing
     assert crossing.id == "T1"
+
+
+@pytest.mark.parametrize("ids", IDS)
+def test_one_hot_day_is_parted_evenly(spark, ids):
+    """Two thirds of all rows are one client's on one day."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    rows = [("HOT" if i % 3 else f"C{i}", IDS[ids](i * 7919), 1) for i in range(20_000)]
+    ledger = spark.createDataFrame(rows, "c string, id string, v int").withColumn("d", F.current_date())
+    made = in_parts(ledger, **ORDER)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in made.groupBy("_part").count().collect()]
+    hot = made.where("c = 'HOT'").groupBy("_part").count().count()
+    assert len(sizes) == 4 and max(sizes) < 2 * 20_000 / 4 and hot >= 3
+    ends = made.groupBy("_part").agg(F.min(F.struct("c", "d", "id")), F.max(F.struct("c", "d", "id"))).sort("_part")
+    bounds = [tuple(x) for r in ends.collect() for x in r[1:]]
+    assert bounds == sorted(bounds)
+
+
+def test_repeated_and_missing_ids_keep_their_rows(spark):
+    contract = {"client_id": "C1", "contract_start_date": "2024-01-01",
+                "contract_end_date": "2025-01-01", "spend_threshold": 25}
+    rows = [
+        {"transaction_id": id_, "client_id": "C1", "transaction_date": "2024-01-02", "net_amount_gbp": 10}
+        for id_ in ("T1", "T1", None, None)
+    ]
+    found = spend(spark, contract, rows).collect()
+    assert sorted(float(r["running_contract_spend_gbp"]) for r in found) == [10, 20, 30, 40]

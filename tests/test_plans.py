@@ -5,7 +5,8 @@ import re
 import pytest
 
 from conftest import TESTDATA, raw_transactions
-from ledgerline.operators import cuts
+from ledgerline.operators import cuts, linked, running
+from ledgerline.operators.running import running_total
 from ledgerline.operators.spine import date_spine
 from ledgerline.plans import metrics as me, monthly as mo, staging as st, transactions as tr
 from ledgerline.quality import checks as ch
@@ -70,30 +71,70 @@ def test_transactions_are_shuffled_once_by_id(spark, inputs):
             tr.classify(st.flag_duplicate_refunds(transactions), resolutions, inputs.types, payments)
         )
     assert len(re.findall(r"SortMergeJoin \[transaction_id", text)) == 3
-    # transactions, resolutions, linked payments by their own id and by their refund's
-    assert len(re.findall(r"Exchange hashpartitioning\((?:transaction)?_id#\d+, 4\)", text)) == 4
+    # transactions, resolutions, first refunds, linked payments by their own id and by their refund's
+    assert len(re.findall(r"Exchange hashpartitioning\((?:transaction)?_id#\d+, 4\)", text)) == 5
+
+
+def test_raw_transactions_are_read_three_times(spark, inputs, monkeypatch):
+    """Counted in the plans of all tables that the fact writes, and its own."""
+    path = inputs.transactions.inputFiles()[0].rsplit("/", 1)[0]
+    plans: list[str] = []
+
+    def seen(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        files = [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line]
+        scans.append(sum(path.rsplit("/", 1)[1][:20] in line for line in files))
+
+    scans: list[int] = []
+    with Conf(spark, maxMetadataStringLength="1000"):
+        for module in (tr, linked, running):
+            for name in ("cut", "bucketed_cut"):
+                if hasattr(module, name):
+                    original = getattr(module, name)
+
+                    def wrapped(df, *rest, original=original):
+                        seen(df)
+                        return original(df, *rest)
+
+                    monkeypatch.setattr(module, name, wrapped)
+        seen(tr.fct_transactions(inputs))
+    assert sum(scans) == 3
+
+
+def test_written_rows_meet_linked_margins_without_a_shuffle(spark, inputs):
+    with Conf(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(tr.fct_transactions(inputs))
+    assert "Bucketed: true" in text or "SelectedBucketsCount" in text
+    # the answers by link and by id; the rows themselves stay in their buckets
+    wide = [line for line in text.split("\n") if "Exchange" in line and "transaction_id" in line]
+    assert len(re.findall(r"SortMergeJoin \[transaction_id", text)) == 1 and len(wide) <= 3
 
 
 def test_rates_and_contracts_do_not_shuffle_transactions(inputs):
-    text = plan(tr.fct_transactions(inputs))
+    transactions = st.flag_duplicate_refunds(st.stage_transactions(inputs.transactions))
+    rows = tr.classify(transactions, st.stage_resolutions(inputs.resolutions), inputs.types)
+    text = plan(tr.convert_to_gbp(rows, tr.daily_rates(st.stage_rates(inputs.rates))))
     assert re.search(r"BroadcastHashJoin \[transaction_currency#\d+, _probe", text)
-    assert "hashpartitioning(client_id" not in text
+    for each in (text, plan(tr.fct_transactions(inputs))):
+        assert "hashpartitioning(client_id" not in each and "hashpartitioning(transaction_currency" not in each
 
 
 def test_no_window_takes_all_rows_of_a_client(spark, inputs):
-    """Windows over transactions are by client, day and block; those by client alone run
-    over sums by day."""
+    """Windows over transactions are by client and part; those by client alone run over sums by
+    part."""
     tx = st.flag_duplicate_refunds(st.stage_transactions(inputs.transactions))
     rows = tr.classify(tx, st.stage_resolutions(inputs.resolutions), inputs.types)
     rows = tr.convert_to_gbp(rows, tr.daily_rates(st.stage_rates(inputs.rates)))
     windows = tr.contract_windows(st.stage_contracts(inputs.contracts))
-    text = plan(tr.contract_spend(rows, windows))
+    ledger = tr.spend_ledger(rows, windows)
+    running = running_total(ledger, out="total", **tr.LEDGER)
+    text = plan(running) + plan(tr.contract_terms(windows, ledger))
     specs = re.findall(r"windowspecdefinition\((.*?), specifiedwindowframe", text)
     assert specs
     for spec in specs:
         columns = re.sub(r"#\d+L?", "", spec)
         if "transaction_id" in columns:
-            assert columns.startswith("client_id, spend_effective_date, _block")
+            assert columns.startswith("client_id, _part")
 
 
 def test_reports_read_only_their_columns(spark, fact):
