@@ -5,11 +5,18 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: The catalogue's names of bucketed tables, by application.
+Kept = TypeVar("Kept")
+
+#: The catalogue's names of bucketed tables, and what is kept, by application.
 _tables: dict[str, list[str]] = {}
+_kept: dict[str, dict[tuple, object]] = {}
+#: Folders of cut tables made while a ``written`` table is built, innermost last.
+_building: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,6 +36,11 @@ def _folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/ledgerline/{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path among the cut tables, for files of other kinds."""
+    return _noted(f"{_folder(spark)}/{name}-{uuid.uuid4().hex}")
+
+
 def cut(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back. ``by`` are columns that get a
     folder for each value, of which a filter reads only its own.
@@ -39,7 +51,7 @@ def cut(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffle beyond, where AQE splits hot keys.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -49,15 +61,53 @@ def bucketed_cut(df: DataFrame, name: str, keys: list[str], buckets: int) -> Dat
     or joined on them without a shuffle. A bucket is one file if ``df`` is shuffled by the keys."""
     spark = df.sparkSession
     table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").option("path", f"{_folder(spark)}/{table}")
+    writer = df.write.format("parquet").option("path", _noted(f"{_folder(spark)}/{table}"))
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
     _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
     return spark.table(table)
 
 
+def _noted(path: str) -> str:
+    if _building:
+        _building[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives as a cut table; the tables that it cut on the way are deleted. They must not be
+    kept or read elsewhere."""
+    _building.append([])
+    try:
+        df = build()
+        on_the_way = list(_building[-1])
+        table = cut(df, name)
+    finally:
+        _building.pop()
+    for folder in on_the_way:
+        _delete(spark, folder)
+    return table
+
+
+def kept(spark: SparkSession, key: tuple, build: Callable[[], Kept]) -> Kept:
+    """What ``build`` gives, built once for the key in an application, until ``drop_cuts``."""
+    found = _kept.setdefault(spark.sparkContext.applicationId, {})
+    if key not in found:
+        outer, _building[:] = list(_building), []  # no part of what is being written around it
+        try:
+            found[key] = build()
+        finally:
+            _building[:] = outer
+    return found[key]
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete the cut tables of this application, once nothing is read from them any more."""
+    _kept.pop(spark.sparkContext.applicationId, None)
     for table in _tables.pop(spark.sparkContext.applicationId, []):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _folder(spark))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,6 +13,7 @@ from ..sources.tables import write_failures
 from . import checks as c
 
 ROW_KINDS = ("not_null", "accepted_range", "expression_is_true")
+VALUE_KINDS = ("unique", "accepted_values", "relationships")
 
 
 @dataclass(frozen=True)
@@ -62,67 +64,94 @@ def _row_condition(check: Check) -> Column:
     return condition if check.where is None else condition & F.expr(check.where)
 
 
-def _count_row_checks(numbered: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
-    """All conditions on single rows of a table in one scan and one aggregate."""
-    counts = df.agg(*(F.count_if(_row_condition(check)).alias(f"c{i}") for i, check in numbered))
-    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("n")) for i, _ in numbered))
-    return counts.select(F.inline(pairs).alias("number", "failures"))
-
-
-def _count_value_checks(numbered: list[tuple[int, Check]], df: DataFrame) -> DataFrame:
-    """All accepted_values checks of a table in one scan; only failing values are sent on."""
-
-    def failing(i: int, check: Check) -> Column:
-        fails = c.value_fails(check.column, check.arguments["values"])
-        if check.where is not None:
-            fails = fails & F.expr(check.where)
-        value = F.col(check.column).cast("string")
-        return F.when(fails, F.struct(F.lit(i).alias("number"), value.alias("value")))
-
-    found = df.select(
-        F.inline(F.array_compact(F.array(*(failing(i, check) for i, check in numbered))))
-    ).distinct()
-    return found.groupBy("number").agg(F.count(F.lit(1)).alias("failures"))
+def _counted_rows(table: str, numbered: list[tuple[int, Check]], df: DataFrame) -> DataFrame | None:
+    """All conditions on single rows of a table, and its number of rows, in one scan and one aggregate. A table
+    counts for an equal_rowcount check, the other table against it."""
+    counts, pairs = {}, []
+    for i, check in numbered:
+        if check.table == table and check.kind in ROW_KINDS:
+            counts[f"c{i}"] = F.count_if(_row_condition(check))
+            pairs.append((i, F.col(f"c{i}")))
+        if check.kind == "equal_rowcount":
+            sides = (check.table == table) - (check.arguments["other"] == table)
+            if sides:
+                counts["rows"] = F.count(F.lit(1))
+                pairs.append((i, sides * F.col("rows")))
+    if not pairs:
+        return None
+    found = df.agg(*(count.alias(name) for name, count in counts.items()))
+    rows = F.array(*(F.struct(F.lit(i).alias("number"), n.cast("long").alias("n")) for i, n in pairs))
+    return found.select(F.inline(rows))
+
+
+def _spread_values(table: str, numbered: list[tuple[int, Check]], df: DataFrame) -> DataFrame | None:
+    """The values of a table that its unique, accepted_values and relationships checks ask for, and those in which
+    other tables' relationships look: ``number, kind, value, here, there`` in one scan. Values are compared as
+    text."""
+    found = []
+
+    def value(i: int, check: Check, column: str, counts: Column, here: int) -> None:
+        row = {"number": F.lit(i), "kind": F.lit(check.kind), "value": F.col(column).cast("string")}
+        row |= {"here": F.lit(here).cast("long"), "there": F.lit(1 - here).cast("long")}
+        entry = F.struct(*(c.alias(name) for name, c in row.items()))
+        found.append(F.when(F.col(column).isNotNull() & counts, entry))
+
+    for i, check in numbered:
+        scope = F.lit(True) if check.where is None else F.expr(check.where)
+        if check.table == table and check.kind in VALUE_KINDS:
+            if check.kind == "accepted_values":
+                scope = scope & c.value_fails(check.column, check.arguments["values"])
+            value(i, check, check.column, scope, 1)
+        if check.kind == "relationships" and check.arguments["parent"] == table:
+            known = check.arguments.get("parent_where")
+            value(i, check, check.arguments["field"], F.lit(True) if known is None else F.expr(known), 0)
+    return df.select(F.inline(F.array_compact(F.array(*found)))) if found else None
+
+
+def _counted_values(values: DataFrame) -> DataFrame:
+    """One aggregate by check and value: values met twice, values not accepted, rows whose value is nowhere
+    in the parent."""
+    by_value = values.groupBy("number", "kind", "value").agg(
+        F.sum("here").alias("here"), F.sum("there").alias("there")
+    )
+    failures = (
+        F.when(F.col("kind") == "unique", (F.col("here") > 1).cast("long"))
+        .when(F.col("kind") == "accepted_values", 1)
+        .otherwise(F.when(F.col("there") == 0, F.col("here")).otherwise(0))
+    )
+    return by_value.groupBy("number").agg(F.sum(failures).alias("n"))
 
 
-def _count_alone(number: int, check: Check, tables: dict[str, DataFrame]) -> DataFrame:
-    if check.kind == "relationships":
-        arguments = dict(check.arguments)
-        parent = tables[arguments.pop("parent")]
-        failing = c.missing_values(
-            tables[check.table], check.column, parent=parent, where=check.where, **arguments
-        )
-        failures = F.sum("n_records")
-    else:
-        failing = failing_rows(check, tables)
-        failures = F.sum("difference") if check.kind == "equal_rowcount" else F.count(F.lit(1))
-    return failing.agg(F.lit(number).alias("number"), failures.alias("failures"))
+def _counted_alone(number: int, check: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    failing = failing_rows(check, tables)
+    return failing.agg(F.lit(number).alias("number"), F.count(F.lit(1)).alias("n"))
 
 
 def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: table, check, severity, failures and status.
 
-    Conditions on single rows cost one scan per table, however many there are.
+    A table is scanned twice, however many checks there are: for conditions on single rows with the number of
+    rows, and for values, which all tables' checks then aggregate together.
     """
     checks = list(checks)
     spark = next(iter(tables.values())).sparkSession
-    counted: list[DataFrame] = []
-    for table in dict.fromkeys(check.table for check in checks):
-        here = [(i, check) for i, check in enumerate(checks) if check.table == table]
-        rows = [(i, check) for i, check in here if check.kind in ROW_KINDS]
-        values = [(i, check) for i, check in here if check.kind == "accepted_values"]
-        if rows:
-            counted.append(_count_row_checks(rows, tables[table]))
-        if values:
-            counted.append(_count_value_checks(values, tables[table]))
-        counted += [
-            _count_alone(i, check, tables)
-            for i, check in here
-            if check.kind not in ROW_KINDS and check.kind != "accepted_values"
-        ]
-    failures = counted[0]
-    for more in counted[1:]:
-        failures = failures.unionByName(more)
+    numbered = list(enumerate(checks))
+    asked = {check.table for check in checks}
+    asked |= {check.arguments[r] for check in checks for r in ("parent", "other") if r in check.arguments}
+    counted = [
+        _counted_alone(i, check, tables)
+        for i, check in numbered
+        if check.kind not in (*ROW_KINDS, *VALUE_KINDS, "equal_rowcount")
+    ]
+    values = []
+    for table in (name for name in tables if name in asked):
+        counted.append(_counted_rows(table, numbered, tables[table]))
+        values.append(_spread_values(table, numbered, tables[table]))
+    if any(v is not None for v in values):
+        counted.append(_counted_values(reduce(DataFrame.unionByName, (v for v in values if v is not None))))
+    every = reduce(DataFrame.unionByName, (n for n in counted if n is not None))
+    # an equal_rowcount check has its table's rows and, negative, the other's
+    failures = every.groupBy("number").agg(F.abs(F.sum("n")).alias("failures"))
 
     listed = spark.createDataFrame(
         [

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..operators.cuts import cut
+from ..operators.cuts import cut, scratch_path
 from ..plans.transactions import Inputs
 from .tables import transaction_types
 
@@ -167,6 +167,32 @@ def bridge(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Inputs:
     )
 
 
+#: Lines of the delivered files that are no rows: the column whose value is no such type, and where.
+BROKEN_LINES = {
+    "transactions": ("transaction_amount", "n/a", "right(transaction_id, 2) = '13'"),
+    "resolutions": None,
+    "rates": ("exchange_rate_to_gbp", "-", "currency = 'EUR' AND right(rate_date, 2) = '28'"),
+    "contracts": ("contract_duration_months", "a year", "right(client_id, 2) = '08'"),
+    "types": None,
+}
+
+
+def deliver(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The derived tables as CSV files with a header, as they would be delivered, some lines broken; their
+    folders by table."""
+    inputs = bridge(spark, sf_dir)
+    folders = {}
+    for name, broken in BROKEN_LINES.items():
+        df = getattr(inputs, name)
+        if broken is not None:
+            column, text, where = broken
+            value = F.when(F.expr(where), text).otherwise(F.col(column).cast("string"))
+            df = df.withColumn(column, value)
+        folders[name] = scratch_path(spark, f"delivered-{name}")
+        df.write.csv(folders[name], header=True)
+    return folders
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """A file of a single row group is read by one task; give every core a part of what
     comes of it. Data with enough parts, as on a cluster, stays where it is."""

@@ -288,7 +288,38 @@ def _doubles(names: str) -> str:
     return ", ".join(f"{n}::DOUBLE AS {n}" for n in names.split())
 
 
+_LOADED = {
+    "transactions": """
+        SELECT tid AS transaction_id, cid AS client_id, amt::DOUBLE AS transaction_amount,
+               kind AS transaction_type, strftime(day, '%Y-%m-%d') AS transaction_date,
+               0.2::DOUBLE AS platform_fee_margin, cur AS currency, link AS linked_transaction_id,
+               right(tid, 2) = '13' AS broken
+        FROM tx_plain""",
+    "resolutions": """
+        SELECT tid AS transaction_id, status AS resolution_status,
+               strftime(settled_on, '%d/%m/%Y') AS resolution_date, false AS broken
+        FROM res_plain""",
+    "rates": """
+        SELECT cur AS currency, strftime(from_day, '%Y-%m-%d') AS rate_date,
+               rate::DOUBLE AS exchange_rate_to_gbp, cur = 'EUR' AND day(from_day) = 28 AS broken
+        FROM fx""",
+    "contracts": """
+        SELECT cid AS client_id, strftime(starts, '%Y-%m-%d') AS contract_start_date,
+               months AS contract_duration_months, target::DOUBLE AS spend_threshold,
+               low_fee::DOUBLE AS discounted_fee_margin, right(cid, 2) = '08' AS broken
+        FROM deal""",
+    "types": "SELECT *, false AS broken FROM transaction_types",
+}
+
 SELECTS: dict[str, str] = {
+    **{
+        f"load_{name}": f"SELECT * EXCLUDE (broken) FROM ({select}) WHERE NOT broken"
+        for name, select in _LOADED.items()
+    },
+    "load_rejected": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS lines FROM ({select}) WHERE broken"
+        for name, select in _LOADED.items()
+    ),
     "stage_transactions": f"""
         SELECT * EXCLUDE (is_duplicate_refund) REPLACE (
             transaction_amount::DOUBLE AS transaction_amount,

@@ -84,3 +84,69 @@ def test_cut_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     assert cut(spark.range(10), "ten").count() == 10
     cuts.drop_cuts(spark)
     assert list((tmp_path / "ledgerline").iterdir()) == []
+
+
+def test_what_is_cut_while_a_table_is_written_goes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cuts, "scratch_root", lambda _: str(tmp_path))
+    folder = tmp_path / "ledgerline" / spark.sparkContext.applicationId
+    builds = []
+
+    def build():
+        builds.append(1)
+        return cut(spark.range(10), "inner").join(cuts.bucketed_cut(spark.range(10), "inner-b", ["id"], 2), "id")
+
+    def mart():
+        return cuts.kept(spark, ("ten",), lambda: cuts.written(spark, "ten", build))
+
+    monkeypatch.setattr(cuts, "_kept", {})
+    assert mart().count() == mart().count() == 10 and builds == [1]
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["ten"]
+    cuts.drop_cuts(spark)
+    assert not folder.exists() and mart().count() == 10 and builds == [1, 1]
+
+
+CONTRACTS_CSV = "client_id,contract_start_date,contract_duration_months,spend_threshold,discounted_fee_margin\n"
+
+
+def test_broken_lines_are_rejected(spark, tmp_path):
+    good = "C1,2024-01-01,12,1000.00,0.150\nC2,not a date,6,,\n"
+    bad = ["C3,2024-01-01,a year,1,0.1", "C4,2024-01-01,12", "C5,2024-01-01,12,1,0.1,more", "C6,2024-01-01,12,1e9999x,0.1"]
+    (tmp_path / "c.csv").write_text(CONTRACTS_CSV + good + "\n".join(bad) + "\n")
+    loaded = so.load_contracts(spark, str(tmp_path / "c.csv"), "csv")
+    assert {r["client_id"] for r in loaded.rows.collect()} == {"C1", "C2"}
+    assert sorted(r["line"] for r in loaded.rejected.collect()) == bad
+    assert loaded.rejected.count() == 4 and loaded.rows.count() == 2
+    assert loaded.rows.select("contract_start_date").count() == 2  # whatever columns are read
+    assert {r["file"].rsplit("/", 1)[1] for r in loaded.rejected.collect()} == {"c.csv"}
+
+
+def test_swapped_headers_are_an_error(spark, tmp_path):
+    names = CONTRACTS_CSV.strip().split(",")
+    swapped = ",".join([names[1], names[0], *names[2:]]) + "\n"
+    for header in (swapped, ",".join(names[:-1]) + "\n", CONTRACTS_CSV.strip() + ",extra\n"):
+        (tmp_path / "c.csv").write_text(header + "C1,2024-01-01,12,1000.00,0.150\n")
+        with pytest.raises(ValueError, match="expected"):
+            so.load_contracts(spark, str(tmp_path / "c.csv"), "csv")
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text(CONTRACTS_CSV + "C1,2024-01-01,12,1000.00,0.150\n")
+    (folder / "b.csv").write_text(swapped + "2024-01-01,C2,12,1000.00,0.150\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        so.read_contracts(spark, str(folder), "csv").collect()
+
+
+def test_parquet_without_a_column_is_an_error(spark, tmp_path):
+    spark.range(1).selectExpr("'C1' client_id").write.parquet(str(tmp_path / "c"))
+    with pytest.raises(ValueError, match="expected"):
+        so.load_contracts(spark, str(tmp_path / "c"))
+
+
+def test_a_failing_build_keeps_the_old_mart(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    so.write_mart(spark.range(5), path)
+    with pytest.raises(Exception, match="broken"):
+        so.write_mart(spark.range(9).selectExpr("if(id = 7, raise_error('broken'), id) id"), path)
+    kept = spark.read.parquet(path)
+    assert kept.count() == 5
+    assert so.write_mart(kept.selectExpr("id * 2 id"), path).agg(F.sum("id")).first()[0] == 20  # from itself
+    assert [p.name for p in tmp_path.iterdir()] == ["mart"]
