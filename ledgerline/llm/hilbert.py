@@ -3,14 +3,17 @@
 Language, source and size of a document are each quantised to 2^``BITS`` steps: names by their place among
 all names in order, sizes by powers of two. The cell's index on the Hilbert curve orders the documents, so that
 near documents agree in all three, and a run of the curve is cut into shards of near equal bytes
-(law ``bytes``): shard floor(shards * bytes before the document's middle / all bytes). No shard is farther
-from the mean than one document. Minima and maxima of a shard's files then prune by each dimension.
+(law ``bytes``). Equal texts are a group, at the lowest place on the curve of any of them, and a group goes whole into shard floor(shards *
+bytes before the group's middle / all bytes). No shard is farther from the mean than one group.
+Minima and maxima of a shard's files then prune by each dimension.
 
-Rows are ranged along the curve and written with their part number; bytes and rows before each part
-are sums by part, and windows run within a part. Only ids, sizes and checksums travel, not texts.
+Groups and rows are ranged along the curve and written with their part number; bytes and rows before each part
+are sums by part, and windows run within a part. A group of many copies is found by an aggregate and handed
+back to its rows, by a broadcast table if there can be only ``HOT_GROUPS`` of its size, else by a join. Only
+ids, sizes and checksums travel, not texts.
 
 NULL texts count as empty (size 1); a NULL name comes first among names. Documents in one cell
-are ordered by checksum, then id, so equal texts stay together; repeated rows keep a slot each.
+are ordered by checksum, then id; repeated rows keep a slot each.
 An empty table gives no rows. Extra columns are ignored.
 """
 
@@ -23,6 +26,8 @@ from ledgerline.operators.cuts import cut
 
 DIMS = 3
 BITS = 5
+#: Groups of equal texts that may be broadcast: 28 bytes each.
+HOT_GROUPS = 100_000
 
 
 def curve_tables(dims: int = DIMS) -> tuple[list[int], list[int]]:
@@ -81,12 +86,45 @@ def hilbert_index(coordinates: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(levels, start, descend, lambda at: at["index"])
 
 
+def _in_parts(df: DataFrame, order: list, amounts: list[str], name: str) -> DataFrame:
+    """The table along an order, with ``<amount>_at``: the sum of an amount over all rows before. Written in parts of the
+    order; windows run within a part, on top of the sums of the parts before."""
+    ranged = df.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    parts = cut(ranged, name)
+    starts = checked_broadcast(cut(partition_starts(parts, "part", amounts), f"{name}-starts"))
+    before = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    at = (
+        (F.coalesce(F.sum(a).over(before), F.lit(0)) + F.col(f"{a}_before")).alias(f"{a}_at") for a in amounts
+    )
+    return parts.join(starts, "part").select(*parts.columns, *at).drop("part")
+
+
 def _name_steps(df: DataFrame, name: str, bits: int) -> DataFrame:
     """Each name's step among 2^bits, by its place in order: one row for each name."""
-    names = df.select(F.col(name).alias("name")).distinct()
-    steps = F.percent_rank().over(Window.orderBy(F.col("name").asc_nulls_first()))
-    step = F.least(F.floor(steps * (1 << bits)), F.lit((1 << bits) - 1)).cast("int")
-    return checked_broadcast(cut(names.select("name", step.alias(f"{name}_step")), f"{name}-steps"))
+    names = df.select(F.col(name).alias("name"), F.lit(1).cast("long").alias("one")).distinct()
+    placed = cut(_in_parts(names, [F.col("name").asc_nulls_first()], ["one"], f"{name}s"), f"{name}-places")
+    last = max(placed.count() - 1, 1)
+    step = F.least(F.floor(F.col("one_at") / last * (1 << bits)), F.lit((1 << bits) - 1)).cast("int")
+    return checked_broadcast(cut(placed.select("name", step.alias(f"{name}_step")), f"{name}-steps"))
+
+
+def _with_groups(placed: DataFrame, n_shards: int) -> DataFrame:
+    """The rows with the curve place and shard of their group of equal texts."""
+    groups = placed.groupBy("text_md5").agg(
+        F.min("curve").alias("curve"), F.sum("size").alias("bytes"), F.count("*").alias("copies")
+    )
+    along = _in_parts(groups, ["curve", "text_md5"], ["bytes"], "groups")
+    total = placed.agg(F.sum("size")).first()[0] or 1
+    middle = (2 * F.col("bytes_at") + F.col("bytes")).cast("decimal(38,0)")
+    dealt = cut(along.withColumn("shard", F.floor(middle * n_shards / (2 * total)).cast("int")), "dealt-groups")
+    # at most HOT_GROUPS groups can have more rows than this
+    often = placed.count() // HOT_GROUPS + 1
+    columns = ["text_md5", "curve", "shard"]
+    hot = cut(dealt.where(F.col("copies") > often).select(columns), "hot-groups")
+    rows = placed.drop("curve")
+    others = rows.join(F.broadcast(hot.select("text_md5")), "text_md5", "left_anti")
+    met = others.join(dealt.where(F.col("copies") <= often).select(columns), "text_md5")
+    return met.unionByName(rows.join(F.broadcast(hot), "text_md5"))
 
 
 def hilbert_shards(
@@ -104,6 +142,7 @@ def hilbert_shards(
             "source",
             (F.length(raw) + 1).cast("long").alias("size"),
             F.crc32(raw).alias("text_crc32"),
+            F.unhex(F.md5(raw)).alias("text_md5"),
         ),
         "sized",
     )
@@ -113,34 +152,21 @@ def hilbert_shards(
         same = placed[name].eqNullSafe(steps["name"])
         placed = placed.join(steps, same, "left").drop("name")
     size_step = F.least(F.floor(F.log2("size")), F.lit((1 << bits) - 1))
-    order = ["curve", "text_crc32", "doc_id"]
-    ranged = (
+    curve = hilbert_index([F.col("lang_step"), F.col("source_step"), size_step], bits)
+    placed = cut(
         placed.select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            hilbert_index([F.col("lang_step"), F.col("source_step"), size_step], bits).alias("curve"),
-        )
-        .repartitionByRange(*order)
-        .withColumn("part", F.spark_partition_id())
-    )
-    parts = cut(ranged.withColumn("row", F.lit(1).cast("long")), "curve")
-    starts = checked_broadcast(cut(partition_starts(parts, "part", ["size", "row"]), "part-starts"))
-    total = parts.agg(F.sum("size"), F.sum("row")).first()
-    within = Window.partitionBy("part").orderBy(*order, "size")
-    before = within.rowsBetween(Window.unboundedPreceding, -1)
-    at = parts.join(starts, "part").select(
-        "*",
-        (F.coalesce(F.sum("size").over(before), F.lit(0)) + F.col("size_before")).alias("bytes_at"),
-        (F.row_number().over(within) - 1 + F.col("row_before")).alias("row_at"),
-    )
-    measure, whole = (
-        (2 * F.col("bytes_at") + F.col("size"), 2 * (total[0] or 0))
-        if law == "bytes"
-        else (F.col("row_at"), total[1] or 0)
+            "doc_id", "size", "text_crc32", "text_md5", curve.alias("curve"), F.lit(1).cast("long").alias("row")
+        ),
+        "curve",
     )
-    shard = F.expr("0") if not whole else F.floor(measure * n_shards / F.lit(whole).cast("decimal(38,0)"))
-    sharded = cut(at.withColumn("shard", shard.cast("int")), "sharded")
+    order = ["curve", "text_md5", "doc_id"]
+    if law == "bytes":
+        along = _in_parts(_with_groups(placed, n_shards), order, ["row"], "rows")
+    else:
+        total = max(placed.count(), 1)
+        along = _in_parts(placed, order, ["row"], "rows")
+        along = along.withColumn("shard", F.floor(F.col("row_at") * n_shards / total).cast("int"))
+    sharded = cut(along, "sharded")
     first = checked_broadcast(sharded.groupBy("shard").agg(F.min("row_at").alias("first")))
     return sharded.join(first, "shard").select(
         "doc_id",

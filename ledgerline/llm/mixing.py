@@ -1,9 +1,12 @@
 """Operator 8: sources mixed to target weights by a low-discrepancy schedule.
 
-The mix is a row of slots of ``BLOCK`` words. Slot i gets the point frac(i * golden ratio), in integers modulo
-2^30; the cumulative target shares of the sources map it to a source. A slot's rank among those of
-its source is the block it takes: the documents of a source, shuffled by hash, laid end to end and cut into blocks of
-equal size, and begun again for each pass. A source is read three times at most.
+The mix is a row of slots, each of which takes a block of one source. The documents of a source, shuffled by hash and laid
+end to end, are cut into blocks of nearly equal size, about ``BLOCK`` words, and begun again for each pass. A source has
+a share of the slots in proportion to the blocks that its target takes. Slot i gets the point frac(i * golden ratio),
+in integers modulo 2^30; the cumulative shares of the sources map it to a source. A slot's rank among those of its source is the
+block it takes. The last slot of a source takes the words that its target still lacks; slots beyond that
+take nothing, and those that a source got too few of (no more than the sequence's discrepancy) follow at the end. So a source of any size
+comes within a word of its target.
 
 Targets: sources in code-point order (NULL last) weigh 1, 2, 3, 1, 2, 3 ... and share all words; none
 gets over three times its words, and what is cut off goes to the others by weight.
@@ -72,56 +75,89 @@ def targets(sizes: DataFrame, passes: int = PASSES) -> DataFrame:
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def schedule(plan: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
-    """The slots that take words: ``slot, source, pass, block``. ``plan`` is a written table of
-    targets, one row for each source."""
+def _key() -> Column:
+    """A source as a key that is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+
+
+def _least() -> Column:
+    """The words of a source's smaller blocks; the first ones have one more."""
+    return F.floor(F.col("source_size") / F.col("blocks"))
+
+
+def _edge(number: Column) -> Column:
+    """The words of a source before its block of this number."""
+    return number * _least() + F.least(number, F.pmod("source_size", "blocks"))
+
+
+def _block_of(word: Column) -> Column:
+    """The block in which a word of a source lies."""
+    more = F.pmod("source_size", "blocks")
+    rest = word - more * (_least() + 1)
+    return F.when(rest < 0, F.floor(word / (_least() + 1))).otherwise(more + F.floor(rest / _least()))
+
+
+def quotas(plan: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Targets with ``key``, ``blocks`` of the source, the whole ``words`` of its target and the ``slots`` that these
+    take; of sources that take any."""
+    words = F.floor(F.col("target") + F.lit(0.5)).cast("long")
+    sized = plan.where("source_size > 0").select(
+        "*", _key().alias("key"), F.ceil(F.col("source_size") / block).alias("blocks"), words.alias("words")
+    )
+    last = _block_of(F.pmod(F.col("words") - 1, "source_size"))
+    slots = F.floor((F.col("words") - 1) / F.col("source_size")) * F.col("blocks") + last + 1
+    return sized.where("words > 0").withColumn("slots", slots.cast("long"))
+
+
+def schedule(plan: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The slots that take words: ``slot, key, pass, block, first, words`` (from word ``first`` of the laid out
+    source). ``plan`` is a written table of targets, one row for each source."""
     spark = plan.sparkSession
-    total = plan.agg(F.sum("target")).first()[0] or 0.0
+    shares = cut(quotas(plan, block), "quotas")
+    n_slots = shares.agg(F.sum("slots")).first()[0] or 0
     upto = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    upper = F.sum("target").over(upto.rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.sum("target").over(Window.partitionBy(F.lit(0)))
-    edges = plan.select(
-        "source",
-        "source_size",
-        F.round((upper - F.col("target")) / whole * MODULUS).cast("long").alias("low"),
-        F.round(upper / whole * MODULUS).cast("long").alias("high"),
-    ).where("high > low")
-    n_slots = round(total / block)
+    upper = F.sum("slots").over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    edges = shares.select(
+        "*",
+        F.round((upper - F.col("slots")) / n_slots * MODULUS).cast("long").alias("low"),
+        F.round(upper / n_slots * MODULUS).cast("long").alias("high"),
+    )
     point = F.pmod(F.pmod(F.col("id"), F.lit(MODULUS)) * GOLDEN, F.lit(MODULUS))
     slots = spark.range(n_slots).select(F.col("id").alias("slot"), point.alias("point"))
     # sources are found by the point's leading bits, so this is a join on equal keys
     step = MODULUS >> 10
     first, last = F.floor(F.col("low") / step), F.floor((F.col("high") - 1) / step)
-    cells = edges.select("*", F.explode(F.sequence(first, last)).alias("cell"))
+    cells = edges.where("high > low").select("key", "low", "high", F.explode(F.sequence(first, last)).alias("cell"))
     cells = checked_broadcast(cut(cells, "share-cells"))
     hit = slots.withColumn("cell", F.floor(F.col("point") / step)).join(cells, "cell")
     hit = hit.where("point >= low and point < high").select(
-        "slot", "source", "source_size", F.floor(F.col("slot") / CHUNK).alias("chunk")
+        "slot", "key", F.floor(F.col("slot") / CHUNK).alias("chunk"), F.lit(1).cast("long").alias("one")
     )
-    hit = cut(hit.withColumn("one", F.lit(1).cast("long")), "slots")
-    code = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    starts = partition_starts(hit.withColumn("key", code), "chunk", ["one"], ["key"])
+    hit = cut(hit, "slots")
+    starts = partition_starts(hit, "chunk", ["one"], ["key"])
     within = Window.partitionBy("chunk", "key").orderBy("slot")
-    ranked = (
-        hit.withColumn("key", code)
-        .join(starts, ["key", "chunk"])
-        .withColumn("rank", F.row_number().over(within) - 1 + F.col("one_before"))
+    ranked = hit.join(starts, ["key", "chunk"]).select(
+        "slot", "key", (F.row_number().over(within) - 1 + F.col("one_before")).alias("rank")
     )
-    blocks = F.ceil(F.col("source_size") / block)
-    return ranked.select(
-        "slot",
-        "source",
-        F.floor(F.col("rank") / blocks).alias("pass"),
-        F.pmod("rank", blocks).alias("block"),
-    ).where(F.col("pass") < passes)
+    # slots that a source lacks come after all others
+    got = hit.groupBy("key").agg(F.count("*").alias("got"))
+    short = shares.join(got, "key", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    short = short.where("got < slots").select("key", F.explode(F.expr("sequence(got, slots - 1)")).alias("rank"))
+    late = short.select((F.lit(n_slots) + F.col("rank")).alias("slot"), "key", "rank")
+    known = checked_broadcast(shares.select("key", "source_size", "blocks", "words", "slots"))
+    every = ranked.unionByName(late).join(known, "key").where("rank < slots")
+    taken = every.select(
+        "*", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), F.pmod("rank", "blocks").alias("block")
+    ).select("*", _edge(F.col("block")).alias("first"), _edge(F.col("block") + 1).alias("end"))
+    left = F.col("words") - F.col("pass") * F.col("source_size") - F.col("first")
+    words = F.least(F.col("end") - F.col("first"), left).alias("words")
+    return taken.select("slot", "key", "pass", "block", "first", words)
 
 
 def layout(docs: DataFrame) -> DataFrame:
     """Documents (with ``hash`` and ``size``) with ``at``, the words before them in their source."""
     bucket = F.conv(F.substring("hash", 1, 3), 16, 10).cast("int")
-    keyed = docs.withColumn("bucket", bucket).withColumn(
-        "key", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    )
+    keyed = docs.withColumn("bucket", bucket).withColumn("key", _key())
     starts = partition_starts(keyed, "bucket", ["size"], ["key"])
     order = Window.partitionBy("key", "bucket").orderBy("hash", "size", "doc_id")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -129,35 +165,36 @@ def layout(docs: DataFrame) -> DataFrame:
     return keyed.join(starts, ["key", "bucket"]).withColumn("at", at).drop("bucket", "size_before")
 
 
-def _spans(laid: DataFrame, block: int) -> DataFrame:
-    first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
-    spread = laid.where("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block"))
-    start = F.greatest(F.col("at"), F.col("block") * block)
-    end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block)
-    return spread.select("*", (start - F.col("at")).alias("first_word"), (end - start).alias("words"))
+def _spans(laid: DataFrame, plan: DataFrame, block: int) -> DataFrame:
+    """Documents with each block that they reach into."""
+    known = checked_broadcast(quotas(plan, block).select("key", "source_size", "blocks"))
+    reach = F.sequence(_block_of(F.col("at")), _block_of(F.col("at") + F.col("size") - 1))
+    worded = laid.where("size > 0").select("key", "at", "size").join(known, "key")
+    return worded.select("key", "at", "size", F.explode(reach).alias("block"))
 
 
-def _planned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _planned(docs: DataFrame, passes: int) -> tuple[DataFrame, DataFrame]:
     slim = docs.select(
         "doc_id", "source", n_words().alias("size"), shuffle_hash().alias("hash")
     )
     slim = cut(slim, "counted")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
-    return slim, cut(targets(sizes), "targets")
+    return slim, cut(targets(sizes, passes), "targets")
 
 
 def mix(docs: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
     """``doc_id, size, source, source_size, target, taken``: the words that the mix takes of each
     document, repeats counted."""
-    slim, plan = _planned(docs)
-    uses = schedule(plan, block, passes).groupBy("source", "block").agg(F.count("*").alias("uses"))
-    uses = uses.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    slim, plan = _planned(docs, passes)
+    uses = schedule(plan, block).groupBy("key", "block", "first", "words").agg(F.count("*").alias("uses"))
     laid = cut(layout(slim), "layout")
+    start = F.greatest("at", "first")
+    end = F.least(F.col("at") + F.col("size"), F.col("first") + F.col("words"))
     taken = (
-        _spans(laid, block)
-        .join(uses.select("key", "block", "uses"), ["key", "block"])
+        _spans(laid, plan, block)
+        .join(uses, ["key", "block"])
         .groupBy("key", "at")
-        .agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+        .agg(F.sum(F.greatest(end - start, F.lit(0)) * F.col("uses")).alias("taken"))
     )
     worded = laid.where("size > 0").join(taken, ["key", "at"], "left")
     silent = laid.where("size = 0").withColumn("taken", F.lit(None).cast("long"))
@@ -183,14 +220,12 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, passes: int = PASSES) -
     """The mix itself: the table's rows, each as often as it is taken. The last pass over a source
     ends inside a document, which is cut behind the last word taken; ``n_chars``, if there, is
     counted anew. Texts are shuffled once, by source and hash, to find their places."""
-    _, plan = _planned(docs)
-    used = schedule(plan, block, passes).groupBy("source").agg(F.count("*").alias("slots"))
-    used = used.withColumnRenamed("source", "used")
-    blocks = F.ceil(F.col("source_size") / block)
-    ends = plan.join(used, F.col("source").eqNullSafe(F.col("used"))).select(
-        F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"),
-        F.floor(F.col("slots") / blocks).cast("int").alias("whole_passes"),
-        F.least(F.pmod("slots", blocks) * block, "source_size").alias("rest"),
+    _, plan = _planned(docs, passes)
+    used = schedule(plan, block).groupBy("key").agg(F.sum("words").alias("used"))
+    ends = plan.withColumn("key", _key()).join(used, "key").select(
+        "key",
+        F.floor(F.col("used") / F.col("source_size")).cast("int").alias("whole_passes"),
+        F.pmod("used", "source_size").alias("rest"),
     )
     ends = checked_broadcast(cut(ends, "taken-of-sources"))
     helpers = {"size": n_words(), "hash": shuffle_hash()}

@@ -250,48 +250,17 @@ ORACLE_SQL: dict[str, str] = {
                 least(cap, weight * (select max(level) from levels where cap >= level * weight)) as target
             from levels
         ),
-        edges as (
-            select source, source_size, target,
-                round((sum(target) over w - target) / sum(target) over () * 1073741824)::bigint as low,
-                round(sum(target) over w / sum(target) over () * 1073741824)::bigint as high
-            from plan window w as (order by source nulls last rows unbounded preceding)
-        ),
-        points as (
-            select i as slot, (i % 1073741824) * 663608941 % 1073741824 as point
-            from range(cast((select round(sum(target) / 32) from plan) as bigint)) t(i)
-        ),
-        ranked as (
-            select source, source_size,
-                row_number() over (partition by source order by slot) - 1 as rank
-            from points join edges on point >= low and point < high
-        ),
-        uses as (
-            select source, rank % ((source_size + 31) // 32) as block, count(*) as uses
-            from ranked where rank // ((source_size + 31) // 32) < 3 group by all
-        ),
         laid as (
             select *, (sum(size) over (
                 partition by source order by hash, size, doc_id rows unbounded preceding
             ) - size)::bigint as place
             from docs
         ),
-        spans as (
-            select doc_id, source, place, size, unnest(range(place // 32, (place + size - 1) // 32 + 1)) as block
-            from laid where size > 0
-        ),
-        taken as (
-            select spans.source, place, sum(
-                (least(place + size, (spans.block + 1) * 32) - greatest(place, spans.block * 32)) * uses
-            ) as taken
-            from spans join uses
-              on spans.block = uses.block and spans.source is not distinct from uses.source
-            group by all
-        )
+        quotas as (select *, floor(target + 0.5)::bigint as words from plan)
         select doc_id, size, source_size, round(target, 6) as target,
-            coalesce(taken, 0)::bigint as taken
-        from laid join plan on laid.source is not distinct from plan.source
-        left join taken on size > 0 and laid.place = taken.place
-            and laid.source is not distinct from taken.source
+            case when source_size = 0 then 0 else words // source_size * size
+                + greatest(least(words % source_size - place, size), 0) end::bigint as taken
+        from laid join quotas on laid.source is not distinct from quotas.source
     """,
     "op11_fill_in_middle": """
         with hashed as (

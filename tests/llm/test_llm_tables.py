@@ -64,6 +64,25 @@ def test_shards(odd, none, law):
     assert hilbert.hilbert_shards(none).count() == 0
 
 
+@pytest.mark.parametrize("hot_groups", [1, 100_000])
+def test_equal_texts_share_a_shard(spark, monkeypatch, hot_groups):
+    monkeypatch.setattr(hilbert, "HOT_GROUPS", hot_groups)
+    texts = [f"text {k % 40 if k % 3 else k} " + "x" * (k % 7) for k in range(600)]
+    rows = [(k, t, "en" if k % 2 else "de", f"s{k % 5}") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    made = hilbert.hilbert_shards(docs, 8).collect()
+    assert len(made) == 600
+    shards: dict = {}
+    for r in made:
+        shards.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+    assert all(len(s) == 1 for s in shards.values())
+    sizes = np.bincount([r["shard"] for r in made], [r["size"] for r in made], 8)
+    largest = max(texts.count(t) * (len(t) + 1) for t in shards)
+    assert abs(sizes - sizes.mean()).max() <= largest
+    for shard in range(8):
+        assert sorted(r["slot"] for r in made if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in made)))
+
+
 def test_plan_of_shards_runs_no_python(odd, capsys):
     hilbert.hilbert_shards(odd).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Pandas"))
@@ -109,6 +128,42 @@ def test_mix(odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
 
 
+def test_small_sources_meet_their_targets(spark):
+    rows = [(k, "w " * n, source) for k, (n, source) in enumerate(
+        [(33, "a"), (5, "b"), (1, None), (2, "c"), (0, "d"), *((40, "e") for _ in range(100)), (20, "f"), (13, "f")]
+    )]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    taken: dict = {}
+    for r in found:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        have = taken.setdefault(r["source"], [0, r["target"]])
+        have[0] += r["taken"]
+    assert all(abs(n - target) <= 0.5 for n, target in taken.values()), taken
+    made = mixing.mixed_documents(docs).collect()
+    for source, (n, _) in taken.items():
+        assert sum(len(words(r["text"])) for r in made if r["source"] == source) == n
+
+
+def test_every_slot_takes_the_next_block_of_its_source(spark):
+    plan = spark.createDataFrame(
+        [("a", 33, 99.0), ("b", 5, 15.0), ("c", 4000, 3924.0), (None, 70, 45.2)],
+        "source string, source_size long, target double",
+    )
+    slots = mixing.schedule(plan).orderBy("slot").collect()
+    assert len({r["slot"] for r in slots}) == len(slots)
+    for key, size, target in (("=a", 33, 99), ("=b", 5, 15), ("=c", 4000, 3924), ("", 70, 45)):
+        mine = [r for r in slots if r["key"] == key]
+        place = 0
+        for r in mine:
+            assert (r["pass"], r["first"]) == divmod(place, size) and 0 < r["words"] <= 32
+            place += r["words"]
+        assert place == target
+    # low discrepancy: the large source is spread evenly
+    at = np.array([k for k, r in enumerate(slots) if r["key"] == "=c"])
+    assert np.diff(at).max() <= 4
+
+
 def brute(rows, k):
     good = [
         (i, [int(np.floor(256 * float(x))) for x in v])
