@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.cuts import cut
 from ..sources.tables import write_failures
 from . import checks as c
 
@@ -108,9 +109,9 @@ def _spread_values(table: str, numbered: list[tuple[int, Check]], df: DataFrame)
     return df.select(F.inline(F.array_compact(F.array(*found)))) if found else None
 
 
-def _counted_values(values: DataFrame) -> DataFrame:
-    """One aggregate by check and value: values met twice, values not accepted, rows whose value is nowhere
-    in the parent."""
+def _failing_values(values: DataFrame) -> DataFrame:
+    """One aggregate by check and value, with ``n``: values met twice, values not accepted, rows whose value is
+    nowhere in the parent."""
     by_value = values.groupBy("number", "kind", "value").agg(
         F.sum("here").alias("here"), F.sum("there").alias("there")
     )
@@ -119,7 +120,7 @@ def _counted_values(values: DataFrame) -> DataFrame:
         .when(F.col("kind") == "accepted_values", 1)
         .otherwise(F.when(F.col("there") == 0, F.col("here")).otherwise(0))
     )
-    return by_value.groupBy("number").agg(F.sum(failures).alias("n"))
+    return by_value.select("number", "value", failures.cast("long").alias("n")).where("n > 0")
 
 
 def _counted_alone(number: int, check: Check, tables: dict[str, DataFrame]) -> DataFrame:
@@ -148,7 +149,8 @@ def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFra
         counted.append(_counted_rows(table, numbered, tables[table]))
         values.append(_spread_values(table, numbered, tables[table]))
     if any(v is not None for v in values):
-        counted.append(_counted_values(reduce(DataFrame.unionByName, (v for v in values if v is not None))))
+        failing = _failing_values(reduce(DataFrame.unionByName, (v for v in values if v is not None)))
+        counted.append(failing.groupBy("number").agg(F.sum("n").alias("n")))
     every = reduce(DataFrame.unionByName, (n for n in counted if n is not None))
     # an equal_rowcount check has its table's rows and, negative, the other's
     failures = every.groupBy("number").agg(F.abs(F.sum("n")).alias("failures"))
@@ -168,6 +170,63 @@ def run_checks(checks: Iterable[Check], tables: dict[str, DataFrame]) -> DataFra
     )
 
 
+def _identity(check: Check) -> str:
+    # two checks of one kind on a column may differ in their condition
+    digest = hashlib.md5(repr(check).encode()).hexdigest()[:8]
+    return f"{check.kind}__{check.column}__{digest}"
+
+
+def store_rows(
+    checks: Iterable[Check], tables: dict[str, DataFrame], audit_dir: str, run: str
+) -> dict[str, str]:
+    """Write the failing rows of all checks on rows and values, a folder for each table: the row with ``check``, by
+    ``run`` and ``check_id``. A run is replaced, other runs stay. Returns the folders.
+
+    The values that fail are found first, as for counting; one pass over a table then tags its rows with
+    every check that they fail. Rows fail a unique check by their value, whichever came first.
+    """
+    numbered = [(i, check) for i, check in enumerate(checks) if check.kind in (*ROW_KINDS, *VALUE_KINDS)]
+    spread = [_spread_values(table, numbered, df) for table, df in tables.items()]
+    spread = [values for values in spread if values is not None]
+    failing = None
+    if spread:
+        failing = _failing_values(reduce(DataFrame.unionByName, spread)).select("number", "value")
+        failing = cut(failing.withColumn("_fails", F.lit(True)), "failing-values")
+    stored = {}
+    for table in dict.fromkeys(check.table for _, check in numbered):
+        here = [(i, check) for i, check in numbered if check.table == table]
+        entries = []
+        for i, check in here:
+            value, fails = F.lit(None).cast("string"), None
+            if check.kind in ROW_KINDS:
+                fails = _row_condition(check)
+            else:
+                value = F.col(check.column).cast("string")
+                fails = F.col(check.column).isNotNull()
+                if check.kind == "accepted_values":
+                    fails = c.value_fails(check.column, check.arguments["values"])
+                if check.where is not None:
+                    fails = fails & F.expr(check.where)
+            entries.append(F.when(fails, F.struct(F.lit(i).alias("number"), value.alias("value"))))
+        df = tables[table]
+        tagged = df.select("*", F.inline(F.array_compact(F.array(*entries))))
+        by_value = [i for i, check in here if check.kind in VALUE_KINDS]
+        if by_value:
+            tagged = tagged.join(failing, ["number", "value"], "left")
+            tagged = tagged.where(F.col("_fails") | ~F.col("number").isin(by_value))
+        listed = _listed(df, here)
+        rows = tagged.join(F.broadcast(listed), "number").select(*df.columns, "check", "check_id")
+        stored[table] = f"{audit_dir.rstrip('/')}/{table}"
+        rows.write.mode("overwrite").partitionBy("check_id").parquet(f"{stored[table]}/run={run}")
+    return stored
+
+
+def _listed(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
+    """The names of a table's checks, one row each."""
+    rows = [(i, check.name, _identity(check)) for i, check in numbered]
+    return df.sparkSession.createDataFrame(rows, "number int, check string, check_id string")
+
+
 def store_failures(
     checks: Iterable[Check], tables: dict[str, DataFrame], audit_dir: str
 ) -> dict[str, str]:
@@ -175,8 +234,6 @@ def store_failures(
     stored = {}
     for check in checks:
         if check.store_failures:
-            # two checks of one kind on a column may differ in their condition
-            digest = hashlib.md5(repr(check).encode()).hexdigest()[:8]
-            name = f"{check.table}__{check.kind}__{check.column}__{digest}"
+            name = f"{check.table}__{_identity(check)}"
             stored[check.name] = write_failures(failing_rows(check, tables), audit_dir, name)
     return stored

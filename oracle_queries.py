@@ -559,6 +559,28 @@ def _failures(check: Check) -> str:
     raise ValueError(check.kind)
 
 
+def _failing_rows(check: Check) -> str:
+    """A condition on the rows of the check's table that fail it."""
+    column, scope = check.column, check.where or "true"
+    if check.kind == "unique":
+        return f"""({scope}) AND {column} IN (SELECT {column} FROM {check.table} WHERE ({scope})
+            GROUP BY {column} HAVING count(*) > 1)"""
+    if check.kind == "accepted_values":
+        accepted = ", ".join(repr(value) for value in check.arguments["values"])
+        return f"({scope}) AND {column} NOT IN ({accepted})"
+    return _failures(check).split("WHERE", 1)[1]
+
+
+def _stored(checks: list[Check]) -> str:
+    rows = "\nUNION ALL ".join(
+        f"SELECT {_quoted(c.table)} AS \"table\", {_quoted(c.name)} AS \"check\", count(*) AS failing_rows"
+        f" FROM {c.table} WHERE {_failing_rows(c)}"
+        for c in checks
+        if c.kind != "equal_rowcount"
+    )
+    return f"SELECT * FROM ({rows}) WHERE failing_rows > 0"
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -586,5 +608,6 @@ def oracle_queries() -> dict[str, str]:
     queries = {name: _sql(select) for name, select in SELECTS.items()}
     queries |= {name: _sql(select, dirty=True) for name, select in DIRTY_SELECTS.items()}
     queries["dq_summary"] = _sql(_summary(staged), dirty=True)
+    queries["dq_stored_failures"] = _sql(_stored(staged), dirty=True)
     queries["dq_suite"] = _sql(_summary(everything))
     return queries

@@ -77,6 +77,22 @@ def test_stored_failures_can_be_read_back(spark, pets, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(*paths.values()).collect()] == [(2, 2)]
 
 
+def test_failing_rows_of_all_checks_are_stored_by_run(spark, pets, tmp_path):
+    listed = [
+        Check("pets", "unique", "id"), Check("pets", "not_null", "id"),
+        Check("pets", "expression_is_true", "id", {"expression": "< 3"}),
+    ]
+    for run in ("1", "2", "2"):  # a run is replaced
+        paths = runner.store_rows(listed, {"pets": pets}, str(tmp_path), run)
+    back = spark.read.parquet(paths["pets"])
+    assert set(pets.columns) | {"check", "check_id", "run"} == set(back.columns)
+    by_check = {(r["run"], r["check"]): r["count"] for r in back.groupBy("run", "check").count().collect()}
+    twice = pets.groupBy("id").count().where("count > 1 and id is not null").agg({"count": "sum"}).first()[0]
+    expected = {"unique id": twice, "not_null id": pets.where("id is null").count(),
+                listed[2].name: pets.where("id >= 3").count()}
+    assert by_check == {(run, name): n for run in (1, 2) for name, n in expected.items() if n}
+
+
 def test_suite_size():
     listed = [
         *suite.rule_checks(), *suite.staging_checks(), *suite.step_checks(), *suite.mart_checks()
