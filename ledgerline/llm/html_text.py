@@ -6,11 +6,15 @@ ratio is characters per leaf, weighed by punctuation and by the share of text ou
 that names itself navigation, header, footer, advert, comments and the like get 0. Names on html, body, main and
 article do not count, nor does a name like has-sidebar on a container with over half of the page's text outside aside
 tags, nor a plain one like comments, which may outweigh a short article, if hardly any text is left beside it. Ratios are smoothed over
-neighbouring leaves in page order, so a heading between paragraphs is not lost, and fused per container: the
-containers whose fused ratio reaches ``THRESHOLD`` of the page's highest select the content. Every block under their
-lowest common container is content, except asides: an article or main is taken whole; any other container is widened
+neighbouring leaves in page order, so a heading between paragraphs is not lost, and fused per container.
+
+Where a page has articles or mains, the one of the highest fused ratio is content, whole but for asides: other
+articles beside it are readers' or other stories. Within a main the same choice goes on as long as one article holds ``MOST`` of
+its ratio; headings right before that article are its own. An article inside an article is a reader's comment.
+Elsewhere the containers whose fused ratio reaches ``THRESHOLD`` of the page's highest select the
+content: every block under their lowest common container, except asides. That container is widened
 to its parent as long as the parent adds neither asides nor blocks that are all links, and in it such blocks are
-content only as headings or beside chosen text.
+content only as headings or beside chosen text. Blocks that are not shown (hidden, display:none) are asides.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by one line
 feed in page order; nothing else is dropped. Each page is worked on alone and whole.
@@ -34,6 +38,7 @@ from ledgerline.llm.arrow import append_columns
 from ledgerline.llm.tables import long_field
 
 THRESHOLD = 0.15
+MOST = 0.6
 SPREAD = 1.0
 
 # Names from HTML, and words that sites use for what is not the article.
@@ -78,23 +83,31 @@ _MARKUP = re.compile(
     re.I | re.S,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_HIDDEN = re.compile(
+    r"(?:^|\s)(?:hidden(?=[\s=/]|$)(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true)"
+    r"|\bstyle\s*=\s*(?:\"[^\"]*?|'[^']*?)(?:display\s*:\s*none|visibility\s*:\s*hidden)",
+    re.I,
+)
+#: Stands among a step's names if its container is not shown.
+NOT_SHOWN = "!"
 _WORD = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _MARKS = re.compile(r"[.,;:!?…。，、]")
 
 
 class Leaf:
-    """A block of text: its path, its text and how much of that is in links."""
+    """A block of text: its path, its text, how much of that is in links, and the articles and mains that hold
+    it, by their number on the page, outermost first."""
 
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("path", "text", "linked", "frames")
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, path: tuple[str, ...], text: str, linked: int, frames: tuple[int, ...] = ()):
+        self.path, self.text, self.linked, self.frames = path, text, linked, frames
 
 
 def _step(tag: str, rest: str) -> str:
     names = [w for m in _NAMES.findall(rest) for w in "".join(m).lower().split()]
-    return ".".join([tag, *names])
+    return ".".join([tag, *names, NOT_SHOWN] if _HIDDEN.search(rest) else [tag, *names])
 
 
 @lru_cache(maxsize=1 << 14)
@@ -116,6 +129,8 @@ def _in_aside_tag(path: tuple[str, ...]) -> bool:
         tag = step.split(".", 1)[0]
         if tag in ASIDE_TAGS and not (tag == "header" and inside):
             return True
+        if step.endswith(f".{NOT_SHOWN}"):
+            return True
         inside = inside or tag in CONTENT_TAGS
     return False
 
@@ -148,7 +163,8 @@ def leaves(page: str) -> list[Leaf]:
     stack: list[str] = []
     tags: list[str] = []
     parts: list[str] = []
-    links = linked = 0
+    frames: list[int] = []  # of each open tag, 0 if it is neither article nor main
+    links = linked = opened = 0
 
     def add(text: str) -> None:
         nonlocal linked
@@ -160,13 +176,14 @@ def leaves(page: str) -> list[Leaf]:
         nonlocal linked
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            out.append(Leaf(tuple(stack), text, min(linked, len(text))))
+            held = tuple(f for f in frames if f)
+            out.append(Leaf(tuple(stack), text, min(linked, len(text)), held))
         parts.clear()
         linked = 0
 
     def shut(last: int) -> None:
         flush()
-        del stack[last:], tags[last:]
+        del stack[last:], tags[last:], frames[last:]
 
     at = 0
     for m in _MARKUP.finditer(page):
@@ -195,6 +212,8 @@ def leaves(page: str) -> list[Leaf]:
         if tag not in VOID and not m["rest"].endswith("/"):
             stack.append(_step(tag, m["rest"]))
             tags.append(tag)
+            opened += tag in CONTENT_TAGS
+            frames.append(opened if tag in CONTENT_TAGS else 0)
     if at < len(page):
         add(page[at:])
     flush()
@@ -252,19 +271,15 @@ def content(blocks: list[Leaf]) -> list[Leaf]:
             (w, raw[j]) for w, j in zip(weight, range(i - 2, i + 3), strict=True) if 0 <= j < len(raw)
         ]
         smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
-    named = [
-        k
-        for leaf in blocks
-        if ratio[leaf.path]
-        for k, step in enumerate(leaf.path)
-        if step.split(".")[0] in CONTENT_TAGS
-    ]
+    weight_of: dict[int, float] = defaultdict(float)
     fused: dict[tuple[str, ...], float] = defaultdict(float)
     for leaf, value in zip(blocks, smooth, strict=True):
-        if ratio[leaf.path] and (not named or any(s.split(".")[0] in CONTENT_TAGS for s in leaf.path)):
+        if ratio[leaf.path]:
             fused[leaf.path[:-1]] += value * len(leaf.text)
-    if not fused:
-        return []
+            for frame in leaf.frames:
+                weight_of[frame] += value * len(leaf.text)
+    if weight_of:
+        return _framed(blocks, weight_of, asides)
     top = max(fused.values())
     chosen = [path for path, value in fused.items() if value >= THRESHOLD * top]
     root = chosen[0]
@@ -273,24 +288,55 @@ def content(blocks: list[Leaf]) -> list[Leaf]:
         while k < min(len(root), len(path)) and root[k] == path[k]:
             k += 1
         root = root[:k]
-    # a named article is taken whole, however its text is spread inside it
-    whole = False
-    for k, step in enumerate(root):
-        if step.split(".")[0] in CONTENT_TAGS:
-            root, whole = root[: k + 1], True
-            break
     held = set(chosen)
-    if not whole:
-        root = _widened(root, ratio, asides)
+    root = _widened(root, ratio, asides)
     return [
         leaf
         for leaf in blocks
         if leaf.path not in asides
         and leaf.path[: len(root)] == root
-        and (ratio[leaf.path] or whole or leaf.path[:-1] in held or _is_heading(leaf.path))
+        and (ratio[leaf.path] or leaf.path[:-1] in held or _is_heading(leaf.path))
     ]
 
 
+def _framed(
+    blocks: list[Leaf], weight_of: dict[int, float], asides: set[tuple[str, ...]]
+) -> list[Leaf]:
+    """The blocks of the page's heaviest article or main."""
+    tag_of: dict[int, str] = {}
+    below: dict[int, set[int]] = defaultdict(set)
+    for leaf in blocks:
+        tags = [t for t in (step.split(".", 1)[0] for step in leaf.path) if t in CONTENT_TAGS]
+        tag_of.update(zip(leaf.frames, tags, strict=True))
+        for outer, inner in zip((0, *leaf.frames), leaf.frames, strict=False):
+            below[outer].add(inner)
+
+    def heaviest(outer: int) -> int:
+        return max(below[outer], key=lambda f: (weight_of.get(f, 0.0), -f))
+
+    frame, parent = heaviest(0), 0
+    while tag_of[frame] == "main" and below[frame]:
+        inner = heaviest(frame)
+        if weight_of.get(inner, 0.0) < MOST * weight_of[frame]:
+            break
+        frame, parent = inner, frame
+    whole_article = tag_of[frame] == "article"
+    out: list[Leaf] = []
+    before: list[Leaf] = []  # headings right before the article
+    for leaf in blocks:
+        if leaf.path in asides:
+            continue
+        if frame in leaf.frames:
+            inside = leaf.frames[leaf.frames.index(frame) + 1 :]
+            if not (whole_article and any(tag_of[f] == "article" for f in inside)):
+                out.append(leaf)
+        elif not out and parent in leaf.frames and _is_heading(leaf.path):
+            before.append(leaf)
+        elif not out:
+            before.clear()
+    return before + out
+
+
 def main_text(page: str | None) -> str:
     return "\n".join(leaf.text for leaf in content(leaves(page))) if page else ""
 

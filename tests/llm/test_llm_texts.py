@@ -266,6 +266,24 @@ def test_headlines_and_links_of_the_text_stay(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<main><article><p>{LONG}</article><div class=more-stories><h2>More stories</h2><p>One, teaser.<p>Two, teaser.</div></main>", LONG),
+        (f"<article class=post><p>{LONG}</article><article><p>I disagree, with it.</article><article><p>Me too.</article>", LONG),
+        (f"<article class=post><p>{LONG}<article class=c><p>I disagree, with it.</article></article>", LONG),
+        (f"<main><h1>T</h1><article><p>{LONG}</article></main>", f"T\n{LONG}"),
+        (f"<main><div><h2>Stories</h2><p>x</div><article><p>{LONG}</article></main>", LONG),
+        ("<main><article><p>A first part, here.</article><article><p>A second part, too.</article></main>", "A first part, here.\nA second part, too."),
+        (f"<article><p hidden>Not, shown.</p><p>{LONG}</p><div style='color:red; display: none'><p>Nor, this.</p></div></article>", LONG),
+        (f"<div><div aria-hidden=true><p>Not, shown, at all, here.</p></div><p>{LONG}</p><p data-hidden=x>Shown, it is.</p></div>", f"{LONG}\nShown, it is."),
+        (f"<main><p>{LONG}</p><p class=hidden-gem>A gem, here.</p></main>", f"{LONG}\nA gem, here."),
+    ],
+)
+def test_the_article_and_nothing_beside_it(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, text int"
     pages = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, None)], schema)
