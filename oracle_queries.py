@@ -288,6 +288,23 @@ def _doubles(names: str) -> str:
     return ", ".join(f"{n}::DOUBLE AS {n}" for n in names.split())
 
 
+
+
+def _metrics_by(grain: str) -> str:
+    return f"""
+        SELECT coalesce(a.t, b.t) AS metric_time, a.revenue::DOUBLE AS revenue,
+               a.net::DOUBLE AS net_gmv, a.gross::DOUBLE AS gross_gmv,
+               a.revenue::DOUBLE / nullif(a.net::DOUBLE, 0) AS take_rate, b.n AS transactions
+        FROM (
+            SELECT date_trunc('{grain}', booked_on)::DATE AS t, sum(revenue) AS revenue,
+                   sum(if(booked = 1, net_gbp, 0)) AS net,
+                   sum(if(booked = 1 AND sign = 1, gross_gbp, 0)) AS gross
+            FROM rev WHERE booked_on IS NOT NULL GROUP BY ALL) a
+        FULL JOIN (
+            SELECT date_trunc('{grain}', day)::DATE AS t, count(tid) AS n FROM rev GROUP BY ALL) b
+        ON a.t = b.t"""
+
+
 _LOADED = {
     "transactions": """
         SELECT tid AS transaction_id, cid AS client_id, amt::DOUBLE AS transaction_amount,
@@ -391,18 +408,7 @@ SELECTS: dict[str, str] = {
                 FROM rev WHERE inside GROUP BY ALL) b
             ON b.cid = a.client_id AND b.m = a.month_start_date
             WHERE a.contract_status <> 'no contract')""",
-    "metrics_by_month": """
-        SELECT coalesce(a.m, b.m) AS metric_time, a.revenue::DOUBLE AS revenue,
-               a.net::DOUBLE AS net_gmv, a.gross::DOUBLE AS gross_gmv,
-               a.revenue::DOUBLE / nullif(a.net::DOUBLE, 0) AS take_rate, b.n AS transactions
-        FROM (
-            SELECT date_trunc('month', booked_on)::DATE AS m, sum(revenue) AS revenue,
-                   sum(if(booked = 1, net_gbp, 0)) AS net,
-                   sum(if(booked = 1 AND sign = 1, gross_gbp, 0)) AS gross
-            FROM rev WHERE booked_on IS NOT NULL GROUP BY ALL) a
-        FULL JOIN (
-            SELECT date_trunc('month', day)::DATE AS m, count(tid) AS n FROM rev GROUP BY ALL) b
-        ON a.m = b.m""",
+    **{f"metrics_by_{grain}": _metrics_by(grain) for grain in ("day", "week", "month", "quarter", "year")},
     "metrics_by_type_currency": """
         SELECT kind AS transaction_type, cur AS transaction_currency, dup AS is_duplicate_refund,
                sum(revenue)::DOUBLE AS revenue,
