@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerline.llm.arrow import chunks, release
 from ledgerline.llm.tables import long_field
-from ledgerline.llm.tokens import encoder, vocabulary_path
+from ledgerline.llm.tokens import encoder, id_type, vocabulary_path
 from ledgerline.operators.cuts import cut
 
 CAPACITY = 2048
@@ -272,17 +272,18 @@ def cut_pieces(
     end_id: int = END_ID,
     with_ids: bool = False,
 ) -> DataFrame:
-    """The pieces of all documents; with ``ids`` on demand. ``uid`` is unique in the result."""
+    """The pieces of all documents; on demand with ``ids``, as little-endian numbers of two bytes, or four for a vocabulary
+    of more than 65,536. ``uid`` is unique in the result."""
     vocabulary = vocabulary or vocabulary_path()
     schema = _PIECES
     if with_ids:
         schema = T.StructType(
-            [*_PIECES.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]
+            [*_PIECES.fields, T.StructField("ids", T.BinaryType())]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 40
-        model = encoder(vocabulary)
+        model, kind = encoder(vocabulary), id_type(vocabulary)
         for batch in batches:
             for rows in chunks(batch, "text"):
                 ids, bounds = model.encode(rows.column("text"), end_id)
@@ -308,8 +309,10 @@ def cut_pieces(
                 ]
                 made += len(doc)
                 if with_ids:
-                    ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(ends, ids.astype(np.int32)))
+                    packed = ids.astype(kind)
+                    ends = np.concatenate([[0], np.cumsum(length)]) * packed.itemsize
+                    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(packed)]
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(length), buffers))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         release()
 

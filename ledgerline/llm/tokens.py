@@ -18,7 +18,7 @@ from ledgerline.llm.arrow import text_bytes
 from ledgerline.llm.words import Words, same_blocks
 
 #: Distinct words a worker remembers; beyond, it starts anew. About 70 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 #: Words whose pieces are known without the tokenizer's own splitter: Latin letters, all of which
 #: the normalisers only put in lower case, then marks that form one piece.
@@ -168,13 +168,9 @@ class Encoder:
     def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and where each text starts and ends. ``end`` is an id
         to put after each text."""
-        import pandas as pd
-
         data, bounds = text_bytes(column)
         words = Words(data, bounds)
-        code, distinct = pd.factorize(words.hash)
-        first = np.zeros(len(distinct), np.int64)
-        first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+        _, first, code = np.unique(words.hash, return_index=True, return_inverse=True)
         table, length = self._ids_of(words, data, first)
         unlike = np.flatnonzero(~words.same(np.arange(len(code)), first[code]))
         if len(unlike):  # another word of the same hash: a code of its own for each
@@ -198,6 +194,11 @@ class Encoder:
         return ids, np.concatenate([[0], ends])
 
 
+def id_type(path: str) -> str:
+    """The narrowest type of little-endian numbers that holds every id of a vocabulary."""
+    return "<u2" if encoder(path).model.get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def encoder(path: str) -> Encoder:
     """One for each worker process and vocabulary."""
     if path not in _loaded:

@@ -86,7 +86,7 @@ def test_patterns_in_the_operators(spark, tmp_path, whole):
     pieces = packing.cut_pieces(docs, with_ids=True).orderBy("doc_id", "piece").collect()
     joined: dict = {}
     for r in pieces:
-        joined.setdefault(r["doc_id"], []).extend(r["ids"])
+        joined.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u2").tolist())
     assert {k: v[:-1] for k, v in joined.items()} == {r[0]: whole(r[1]) for r in rows}
     alone = jaccard.jaccard_components(docs).collect()
     assert all(r["component_id"] == r["doc_id"] for r in alone)
