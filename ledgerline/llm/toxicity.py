@@ -31,13 +31,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerline.llm.arrow import append_columns, chunks, text_bytes
+from ledgerline.llm.arrow import append_columns, chunks, release, text_bytes
 from ledgerline.llm.words import Words, mix
 from ledgerline.operators.cuts import cut
 
 WINDOW = 12
-TOXIC_SAMPLE = 3000
-ORDINARY_SAMPLE = 4500
+TOXIC_SAMPLE = 2000
+ORDINARY_SAMPLE = 3000
 #: Of the sample, rows with this remainder of their id's hash calibrate; the others train.
 CALIBRATION_PARTS = 3
 #: Of each side's dictionary as trained, and at most after cutting; of the common text.
@@ -258,6 +258,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         share = labels.agg(F.avg("label")).first()[0]
         return Model(constant=float(share or 0.0))
     model = Model(*dictionaries(sides[1], sides[0]))
+    del sides, learnt
+    release()
     found = _distances(rows.where("calibrates"), model).toPandas()
     if found["label"].nunique() < 2:
         found = _distances(rows, model).toPandas()
