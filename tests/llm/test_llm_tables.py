@@ -15,7 +15,7 @@ from conftest import TESTDATA  # noqa: E402
 from odd import DOCUMENTS, documents, words  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from ledgerline.llm import hilbert, knn, mixing  # noqa: E402
+from ledgerline.llm import components, hilbert, knn, mixing  # noqa: E402
 from ledgerline.llm.components import connected_components  # noqa: E402
 from ledgerline.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
@@ -226,6 +226,27 @@ def test_components(spark):
     assert {found[100 + k] for k in range(41)} == {100}
 
 
+@pytest.mark.parametrize("hubs", [1, 20, 100_000])
+def test_components_with_hubs(spark, monkeypatch, hubs):
+    monkeypatch.setattr(components, "HUBS", hubs)
+    rng = np.random.default_rng(hubs)
+    links = [(0, k) for k in range(1, 200)] + [(500, k) for k in range(300, 400)] + [(199, 1000), (1000, 1001)]
+    links += [tuple(int(x) for x in rng.integers(2000, 2200, 2)) for _ in range(120)]
+    parent = {n: n for link in links for n in link}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    found = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long")).collect()))
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert found == {n: root(n) for n in linked}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
