@@ -87,8 +87,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents become pieces packed into sequences of 2048 tokens, with their token ids: a sequence is its pieces
-    by offset."""
+    """Documents become pieces packed into sequences of 2048 tokens, with their token ids as little-endian two-byte
+    numbers: a sequence is its pieces by offset."""
     return packing.pack_documents(docs, with_ids=True)
 
 
