@@ -220,3 +220,28 @@ def test_rollup_follows_additivity(marts):
     )
     with pytest.raises(ValueError):
         me.rollup_months(monthly, "year", ["pct_of_spend_threshold"])
+
+
+def test_totals_before_the_first_activity_and_from_outside_the_months(spark):
+    """Pending before the spine counts from its first month; a client's totals are 0 until it is active."""
+    rows = [
+        {"transaction_id": "A1", "client_id": "C001", "transaction_date": "2023-12-20",
+         "resolution_status": "pending", "spend_effective_date": "2023-12-20",
+         "gross_amount_gbp": "10", "net_amount_gbp": "-10", "is_revenue_recognised": 0},
+        {"transaction_id": "A2", "client_id": "C001", "transaction_date": "2024-01-05",
+         "resolution_status": "pending", "spend_effective_date": "2024-01-05",
+         "gross_amount_gbp": "5", "net_amount_gbp": "-5", "is_revenue_recognised": 0},
+        {"transaction_id": "B1", "client_id": None, "transaction_date": "2024-03-02",
+         "resolution_status": "resolved", "resolution_date": "2024-04-01",
+         "spend_effective_date": "2024-04-01", "gross_amount_gbp": "7", "net_amount_gbp": "-7",
+         "is_revenue_recognised": 0},
+        {"transaction_id": "D1", "client_id": "C002", "gross_amount_gbp": "1"},
+    ]
+    dates = date_spine(spark, "2024-01-01", "2024-05-01")
+    mart = mo.client_monthly_revenue(frame(spark, FACT, rows), dates, frame(spark, WINDOWS, []))
+    found = {(r.client_id, str(r.month_start_date)[:7]): float(r.pending_chargebacks_gbp) for r in mart.collect()}
+    months = [f"2024-0{m}" for m in (1, 2, 3, 4)]
+    assert [found["C001", m] for m in months] == [15, 15, 15, 15]
+    assert [found[None, m] for m in months] == [0, 0, 7, 0]
+    assert [found["C002", m] for m in months] == [0, 0, 0, 0]
+    assert len(found) == 12

@@ -199,3 +199,13 @@ def test_a_hot_client_is_split(spark):
     )
     with Conf(spark, **SMALL):
         assert "skew=true" in final_plan(tr.apply_windows(converted, contracts))
+
+
+def test_months_are_filled_after_all_sorts_and_totals(inputs, fact):
+    """The dense rows of the mart, many times those with activity, are neither sorted nor windowed."""
+    dates = date_spine(fact.sparkSession, "1995-01-01", "2003-01-01")
+    windows = tr.contract_windows(st.stage_contracts(inputs.contracts))
+    lines = plan(mo.client_monthly_revenue(fact, dates, windows)).splitlines()
+    filled = next(i for i, line in enumerate(lines) if "Generate explode(sequence(" in line)
+    assert not any("Window" in line or "- Sort " in line for line in lines[:filled])
+    assert any("Window" in line for line in lines[filled:])
