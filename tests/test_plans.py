@@ -209,3 +209,13 @@ def test_months_are_filled_after_all_sorts_and_totals(inputs, fact):
     filled = next(i for i, line in enumerate(lines) if "Generate explode(sequence(" in line)
     assert not any("Window" in line or "- Sort " in line for line in lines[:filled])
     assert any("Window" in line for line in lines[filled:])
+
+
+def test_rows_by_id_are_never_sent_to_the_driver(inputs):
+    """Lookups by transaction id grow with the rows: merged, even where a broadcast would be allowed."""
+    transactions = st.stage_transactions(inputs.transactions)
+    resolutions = st.stage_resolutions(inputs.resolutions)
+    payments = tr.linked_payments(transactions, resolutions)
+    classified = tr.classify(st.flag_duplicate_refunds(transactions), resolutions, inputs.types, payments)
+    assert "BroadcastExchange" not in final_plan(payments)
+    assert final_plan(classified).count("BroadcastExchange") <= 1  # the types
