@@ -9,20 +9,22 @@ hash and then compared byte by byte; one whose hash belongs to another word is e
 
 from __future__ import annotations
 
-import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerline.llm.arrow import text_bytes
 from ledgerline.llm.words import Words, same_blocks
 
-#: Distinct words a worker remembers; beyond, it starts anew. About 70 bytes each.
+#: Distinct words a worker remembers; beyond, it forgets those not met again. About 70 bytes each.
 REMEMBERED = 250_000
 
 #: Words whose pieces are known without the tokenizer's own splitter: Latin letters, all of which
 #: the normalisers only put in lower case, then marks that form one piece.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_MARKS = ".,!?;:"
+_PLAIN = f"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{_MARKS}]*$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -34,6 +36,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+
+
+def _by_bytes(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -48,16 +56,24 @@ def _spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(at - (np.cumsum(size) - size), size)
 
 
+def _flat(encodings: list) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of what the tokenizer encoded, end to end, and how many each has."""
+    made = [e.ids for e in encodings]
+    size = np.fromiter(map(len, made), np.int64, len(made))
+    return np.fromiter(chain.from_iterable(made), np.uint32, int(size.sum())), size
+
+
 class Memory:
-    """Words by hash, in order, with their ids and their bytes."""
+    """Words by hash, in order, with their ids and their bytes. ``met``: which were looked up."""
 
-    def __init__(self, keys=None, ids=None, size=None, blocks=None, length=None):
+    def __init__(self, keys=None, ids=None, size=None, blocks=None, length=None, met=None):
         empty = np.zeros(0, np.int64)
         self.keys = np.zeros(0, np.uint64) if keys is None else keys
         self.ids = np.zeros(0, np.uint32) if ids is None else ids
         self.size = empty if size is None else size
         self.blocks = np.zeros(0, np.uint64) if blocks is None else blocks
         self.length = empty if length is None else length
+        self.met = np.zeros(len(self.keys), bool) if met is None else met
         self.at = np.cumsum(self.size) - self.size
         n_blocks = -(-self.length // 8)
         self.first_block = np.cumsum(n_blocks) - n_blocks
@@ -80,7 +96,15 @@ class Memory:
         first = np.concatenate([self.first_block, other.first_block + len(self.blocks)])[order]
         ids = np.concatenate([self.ids, other.ids])[_spread(at, size)]
         blocks = np.concatenate([self.blocks, other.blocks])[_spread(first, -(-length // 8))]
-        return Memory(keys[order], ids, size, blocks, length)
+        met = np.concatenate([self.met, other.met])[order]
+        return Memory(keys[order], ids, size, blocks, length, met)
+
+    def of_met(self) -> "Memory":
+        """The words that were looked up, which have to be looked up again to stay once more."""
+        at = np.flatnonzero(self.met)
+        ids = self.ids[_spread(self.at[at], self.size[at])]
+        blocks = self.blocks[_spread(self.first_block[at], -(-self.length[at] // 8))]
+        return Memory(self.keys[at], ids, self.size[at], blocks, self.length[at])
 
 
 class Encoder:
@@ -90,20 +114,19 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.pieces = Tokenizer(self.model.model)  # without normalisers and splitter
         self.remembered = remembered
-        self._forget()
-
-    def _forget(self) -> None:
         # new words go to a small memory, which joins the large one now and then
         self.old, self.new = Memory(), Memory()
 
+    def _forget(self) -> None:
+        """Keep the words met again, if that leaves room for others, so that common words are not
+        learned anew with every rare one."""
+        again = self.old.joined(self.new).of_met()
+        self.old, self.new = again if 4 * len(again.keys) <= 3 * self.remembered else Memory(), Memory()
+
     def _learn(self, words: Words, data: np.ndarray, which: np.ndarray) -> Memory:
         """The ids of some words, in the order of their hashes."""
         which = which[np.argsort(words.hash[which], kind="stable")]
-        raw = data.tobytes()
-        spans = zip(words.start[which].tolist(), words.end[which].tolist(), strict=True)
-        made = self._encode_words([raw[a:b].decode() for a, b in spans])
-        size = np.fromiter(map(len, made), np.int64, len(made))
-        ids = np.fromiter((i for m in made for i in m), np.uint32)
+        ids, size = self._encode_words(words, data, which)
         blocks = words.blocks[_spread(words.first_block[which], words.n_blocks[which])]
         return Memory(words.hash[which], ids, size, blocks, words.length[which])
 
@@ -112,21 +135,28 @@ class Encoder:
         if 4 * len(self.new.keys) > len(self.old.keys):
             self.old, self.new = self.old.joined(self.new), Memory()
 
-    def _ids_of(self, words: Words, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of some words, no two of one hash, end to end, and how many each has."""
-        if len(self.old.keys) + len(self.new.keys) + len(which) > self.remembered:
-            self._forget()
-        keys = words.hash[which]
-        alone = np.zeros(len(which), bool)
+    def _known(self, words: Words, keys: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words have a hash that is remembered, and which of these are another word."""
         known = np.zeros(len(which), bool)
+        alone = np.zeros(len(which), bool)
         for memory in (self.old, self.new):
             place = memory.find(keys)
             here = np.flatnonzero(place >= 0)
             known[here] = True
+            memory.met[place[here]] = True
             alone[here] = ~same_blocks(
                 words.blocks, words.first_block[which[here]], words.length[which[here]],
                 memory.blocks, memory.first_block[place[here]], memory.length[place[here]],
             )
+        return known, alone
+
+    def _ids_of(self, words: Words, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, no two of one hash, end to end, and how many each has."""
+        keys = words.hash[which]
+        known, alone = self._known(words, keys, which)
+        if len(self.old.keys) + len(self.new.keys) + np.count_nonzero(~known) > self.remembered:
+            self._forget()
+            known, alone = self._known(words, keys, which)
         if not known.all():
             self._remember(self._learn(words, data, which[~known]))
         sources = [(m, np.where(alone, -1, m.find(keys))) for m in (self.old, self.new)]
@@ -143,27 +173,40 @@ class Encoder:
             ids[_spread(start[here], size[here])] = memory.ids[_spread(memory.at[place[here]], size[here])]
         return ids, size
 
-    def _encode_words(self, texts: list[str]) -> list[list[int]]:
-        made: list[list[int] | None] = [None] * len(texts)
-        plain, other = [], []
-        for k, text in enumerate(texts):
-            found = _PLAIN.fullmatch(text)
-            if found is None:
-                other.append(k)
-                continue
-            letters = found[1].lower()
-            if not letters.isascii():
-                letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            plain.append((k, letters, found[2]))
-        distinct = list({p for _, a, b in plain for p in (a, b) if p})
-        encoded = self.pieces.encode_batch_fast(distinct, add_special_tokens=False)
-        ids = dict(zip(distinct, (e.ids for e in encoded), strict=True))
-        for k, letters, marks in plain:
-            made[k] = ids[letters] + ids[marks] if marks else ids[letters]
-        whole = self.model.encode_batch_fast([texts[k] for k in other], add_special_tokens=False)
-        for k, encoded_word in zip(other, whole, strict=True):
-            made[k] = encoded_word.ids
-        return made
+    def _encode_words(self, words: Words, data: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, end to end, and how many each has."""
+        length = words.length[which]
+        bounds = np.concatenate([[0], np.cumsum(length)])
+        letters = data[_spread(words.start[which], length)]
+        texts = pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(bounds), pa.py_buffer(letters))
+        is_plain = pc.match_substring_regex(texts, _PLAIN)
+        plain = np.flatnonzero(is_plain.to_numpy(zero_copy_only=False))
+        other = np.flatnonzero(~is_plain.to_numpy(zero_copy_only=False))
+        plain_texts = texts.filter(is_plain)
+        stems = pc.utf8_rtrim(pc.utf8_lower(plain_texts), characters=_MARKS).dictionary_encode()
+        marks = pc.replace_substring_regex(plain_texts, f"^[^{_MARKS}]+", "").dictionary_encode()
+        # runs of ids: of the stem, of the marks behind it, of any other word
+        runs = []
+        size = np.zeros(len(which), np.int64)
+        for part in (stems, marks):
+            ids, n = _flat(
+                self.pieces.encode_batch_fast(
+                    [t if t.isascii() else _by_bytes(t) for t in part.dictionary.to_pylist()],
+                    add_special_tokens=False,
+                )
+            )
+            code = part.indices.to_numpy()
+            runs.append((plain, size[plain], ids, (np.cumsum(n) - n)[code], n[code]))
+            size[plain] += n[code]
+        whole = texts.take(pa.array(other)).to_pylist()
+        ids, n = _flat(self.model.encode_batch_fast(whole, add_special_tokens=False))
+        runs.append((other, size[other], ids, np.cumsum(n) - n, n))
+        size[other] += n
+        start = np.cumsum(size) - size
+        made = np.zeros(int(size.sum()), np.uint32)
+        for at, behind, ids, source, n in runs:
+            made[_spread(start[at] + behind, n)] = ids[_spread(source, n)]
+        return made, size
 
     def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and where each text starts and ends. ``end`` is an id
@@ -174,12 +217,10 @@ class Encoder:
         table, length = self._ids_of(words, data, first)
         unlike = np.flatnonzero(~words.same(np.arange(len(code)), first[code]))
         if len(unlike):  # another word of the same hash: a code of its own for each
-            raw = data.tobytes()
-            spans = zip(words.start[unlike].tolist(), words.end[unlike].tolist(), strict=True)
-            made = self._encode_words([raw[a:b].decode() for a, b in spans])
+            made, n = self._encode_words(words, data, unlike)
             code[unlike] = len(length) + np.arange(len(unlike))
-            length = np.concatenate([length, [len(m) for m in made]]).astype(np.int64)
-            table = np.concatenate([table, np.fromiter((i for m in made for i in m), np.uint32)])
+            length = np.concatenate([length, n])
+            table = np.concatenate([table, made])
         size = length[code]
         ids = table[_spread((np.cumsum(length) - length)[code], size)]
         extra = 0 if end is None else 1

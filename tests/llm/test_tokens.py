@@ -69,6 +69,22 @@ def test_ids_are_those_of_whole_texts(whole, remembered):
             assert encoded(encoder, texts[k : k + 7]) == [whole(t) for t in texts[k : k + 7]]
 
 
+def test_common_words_are_learned_once_beside_many_rare_ones(whole, monkeypatch):
+    learned: list[int] = []
+    learn = tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, words, data, which: (
+        learned.append(len(which)), learn(self, words, data, which))[1])
+    encoder = tokens.Encoder(tokens.vocabulary_path(), 300)
+    common = " ".join(f"common{k}x" for k in range(100))
+    texts = [f"{common} " + " ".join(f"rare{k}y{j}" for j in range(50)) for k in range(40)]
+    for text in texts:
+        assert encoded(encoder, [text]) == [whole(text)]
+        assert len(encoder.old.keys) + len(encoder.new.keys) <= 300
+    assert sum(learned) == 100 + 40 * 50
+    marked = ["Été,", "naïve!?", "ÿß.", "×", "÷a", "a×b", "Ünder;:", "a.b", "..", "a\u0301", "İ", "ſ", "K", "a\0"]
+    assert encoded(encoder, marked) == [whole(text) for text in marked]
+
+
 def test_words_of_one_hash_keep_their_ids(whole, monkeypatch):
     monkeypatch.setattr(Words, "_hashes", lambda self: (self.length % 3).astype(np.uint64))
     encoder = tokens.Encoder(tokens.vocabulary_path())
