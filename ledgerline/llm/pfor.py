@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ledgerline.llm.arrow import chunks, release
 from ledgerline.llm.tables import checked_broadcast, long_field, partition_starts
-from ledgerline.llm.tokens import encoder, vocabulary_path
+from ledgerline.llm.tokens import REMEMBERED_ALONE, encoder, vocabulary_path
 
 BLOCK = 128
 PERCENTILE = 90
@@ -168,7 +168,7 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, segment = TaskContext.get().partitionId(), 0
-        model = encoder(vocabulary)
+        model = encoder(vocabulary, REMEMBERED_ALONE)
         for batch in batches:
             for rows in chunks(batch, "text", SEGMENT_BYTES):
                 ids, bounds = model.encode(rows.column("text"), end_id)

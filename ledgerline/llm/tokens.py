@@ -20,6 +20,8 @@ from ledgerline.llm.words import Words, same_blocks
 
 #: Distinct words a worker remembers; beyond, it forgets those not met again. About 70 bytes each.
 REMEMBERED = 250_000
+#: As many where nothing else needs the worker's memory: rare words come back after long stretches.
+REMEMBERED_ALONE = 1_000_000
 
 #: Words whose pieces are known without the tokenizer's own splitter: Latin letters, all of which
 #: the normalisers only put in lower case, then marks that form one piece.
@@ -42,7 +44,7 @@ def _by_bytes(text: str) -> str:
     return text.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
 
-_loaded: dict[str, "Encoder"] = {}
+_loaded: dict[tuple[str, int], "Encoder"] = {}
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -240,8 +242,9 @@ def id_type(path: str) -> str:
     return "<u2" if encoder(path).model.get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process and vocabulary."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One for each worker process, vocabulary and size of its memory."""
+    key = (path, remembered)
+    if key not in _loaded:
+        _loaded[key] = Encoder(path, remembered)
+    return _loaded[key]
