@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerline.llm.arrow import chunks, release
 from ledgerline.llm.tables import long_field
-from ledgerline.llm.tokens import encoder, id_type, vocabulary_path
+from ledgerline.llm.tokens import REMEMBERED, encoder, id_type, vocabulary_path
 from ledgerline.operators.cuts import cut
 
 CAPACITY = 2048
@@ -271,6 +271,7 @@ def cut_pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The pieces of all documents; on demand with ``ids``, as little-endian numbers of two bytes, or four for a vocabulary
     of more than 65,536. ``uid`` is unique in the result."""
@@ -283,7 +284,7 @@ def cut_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 40
-        model, kind = encoder(vocabulary), id_type(vocabulary)
+        model, kind = encoder(vocabulary, remembered), id_type(vocabulary) if with_ids else None
         for batch in batches:
             for rows in chunks(batch, "text"):
                 ids, bounds = model.encode(rows.column("text"), end_id)
@@ -326,10 +327,11 @@ def pack_documents(
     end_id: int = END_ID,
     lot_size: int = LOT,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece (and
     ``ids``). Sequences are filled from 0 without gaps."""
-    pieces = cut(cut_pieces(docs, vocabulary, capacity, end_id, with_ids), "pieces")
+    pieces = cut(cut_pieces(docs, vocabulary, capacity, end_id, with_ids, remembered), "pieces")
     keys = pieces.select("uid", "length")
     first = cut(pack(keys, capacity, lot_size), "places")
     loose = F.col("fill") < LOOSE * capacity
