@@ -9,7 +9,7 @@ from ledgerline.operators import cuts, linked, running
 from ledgerline.operators.running import running_total
 from ledgerline.operators.spine import date_spine
 from ledgerline.plans import metrics as me, monthly as mo, staging as st, transactions as tr
-from ledgerline.quality import checks as ch
+from ledgerline.quality import checks as ch, runner
 from ledgerline.sources.bridge import bridge, land
 
 PYTHON = re.compile("EvalPython|InPandas|InArrow|PythonUDF")
@@ -219,3 +219,41 @@ def test_rows_by_id_are_never_sent_to_the_driver(inputs):
     classified = tr.classify(st.flag_duplicate_refunds(transactions), resolutions, inputs.types, payments)
     assert "BroadcastExchange" not in final_plan(payments)
     assert final_plan(classified).count("BroadcastExchange") <= 1  # the types
+
+
+def test_contracts_join_the_mart_before_months_are_filled(inputs, fact):
+    """The dense rows are many times those with activity: no join, and parts of a number of their own."""
+    dates = date_spine(fact.sparkSession, "1995-01-01", "2003-01-01")
+    windows = tr.contract_windows(st.stage_contracts(inputs.contracts))
+    lines = plan(mo.client_monthly_revenue(fact, dates, windows)).splitlines()
+    filled = next(i for i, line in enumerate(lines) if "Generate explode(sequence(" in line)
+    assert not any("Join" in line for line in lines[:filled])
+    assert any("Join" in line for line in lines[filled:])
+    assert any("REPARTITION_BY_NUM" in line for line in lines[filled:])
+
+
+def test_values_of_checks_are_spread_in_generated_code(spark):
+    """Without a lambda over each row's entries, and by check and value alone."""
+    rows = spark.range(10).selectExpr("id", "id % 2 AS kind")
+    listed = [
+        runner.Check("rows", "unique", "id"),
+        runner.Check("rows", "accepted_values", "kind", {"values": [0]}),
+        runner.Check("rows", "relationships", "kind", {"parent": "rows", "field": "id"}),
+    ]
+    found = runner.run_checks(listed, {"rows": rows})
+    text = plan(found)
+    assert "inline(" in text and "lambda" not in text and "filter(array" not in text
+    assert {r.check.split()[0]: r.failures for r in found.collect()} == {
+        "unique": 0, "accepted_values": 1, "relationships": 0
+    }
+
+
+def test_a_client_with_two_contracts_keeps_single_totals(spark, inputs, fact):
+    """Rows of the mart repeat by contract, their running totals do not."""
+    dates = date_spine(fact.sparkSession, "1995-01-01", "2003-01-01")
+    windows = cuts.cut(tr.contract_windows(st.stage_contracts(inputs.contracts)), "windows")
+    once = mo.client_monthly_revenue(fact, dates, windows)
+    twice = mo.client_monthly_revenue(fact, dates, windows.unionAll(windows))
+    columns = ["client_month_id", "cumulative_contract_spend_gbp", "pending_chargebacks_gbp"]
+    assert once.select(columns).exceptAll(twice.select(columns)).isEmpty()
+    assert twice.select(columns).distinct().exceptAll(once.select(columns).distinct()).isEmpty()
