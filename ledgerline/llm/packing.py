@@ -116,10 +116,13 @@ def evolve(
     """One epoch of one island, from given solutions and its own; the best solution."""
     target = lower_bound(lengths, capacity)
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    people = [*seeds, best_fit(lengths, order, [], capacity)]
+    people = list(seeds)
+    if all(len(bins) > target for bins in seeds):
+        people.append(best_fit(lengths, order, [], capacity))
 
     def rank() -> None:
-        people.sort(key=lambda bins: fitness(lengths, bins, capacity), reverse=True)
+        if len(people) > 1:
+            people.sort(key=lambda bins: fitness(lengths, bins, capacity), reverse=True)
 
     rank()
     if len(people[0]) <= target:

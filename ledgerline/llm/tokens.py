@@ -9,6 +9,7 @@ hash and then compared byte by byte; one whose hash belongs to another word is e
 
 from __future__ import annotations
 
+import os
 from itertools import chain
 
 import numpy as np
@@ -111,6 +112,8 @@ class Memory:
 
 class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
+        # every core has a task of its own; threads of a tokenizer beside it only take time from the others
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)

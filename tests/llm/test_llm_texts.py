@@ -376,3 +376,15 @@ def test_linked_sets_meet_in_as_many_cells_as_needed():
             for members in (a, b):
                 need = jaccard.needed(members)
                 assert any(k is not None and (met & 1 == odd).sum() >= k for odd, k in enumerate(need))
+
+
+def test_an_island_with_a_best_solution_does_not_pack_again(monkeypatch):
+    """A given solution that meets the lower bound is the answer; nothing is packed for it once more."""
+    import random
+
+    lengths, calls = [60, 40, 70, 30], []
+    fit = packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda *a: calls.append(1) or fit(*a))
+    seed = [[0, 1], [2, 3]]
+    assert packing.evolve(lengths, 100, [seed, seed], random.Random(1)) == seed and not calls
+    assert len(packing.evolve(lengths, 100, [[[0], [1], [2], [3]]], random.Random(1))) == 2 and calls
