@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerline.llm.arrow import chunks, release
+from ledgerline.llm.arrow import CHUNK_BYTES, chunks, release
 from ledgerline.llm.tables import long_field
 from ledgerline.llm.tokens import REMEMBERED, encoder, id_type, vocabulary_path
 from ledgerline.operators.cuts import cut
@@ -39,6 +39,8 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 6
 GENERATIONS = 4
+#: Bytes of text a task encodes at once where its ids don't travel: a word's later places in it cost little.
+TEXT_BYTES = 4 * CHUNK_BYTES
 #: Bins filled to less than this share are opened for the second round.
 LOOSE = 0.97
 
@@ -289,7 +291,7 @@ def cut_pieces(
         made = TaskContext.get().partitionId() << 40
         model, kind = encoder(vocabulary, remembered), id_type(vocabulary) if with_ids else None
         for batch in batches:
-            for rows in chunks(batch, "text"):
+            for rows in chunks(batch, "text", CHUNK_BYTES if with_ids else TEXT_BYTES):
                 ids, bounds = model.encode(rows.column("text"), end_id)
                 size = np.diff(bounds)
                 n = -(-size // capacity)

@@ -1,15 +1,18 @@
-"""Token ids of whole texts, with every distinct word encoded once per worker process.
+"""Token ids of whole texts, with every distinct unit of a word encoded once per worker process.
 
 The tokenizer's own steps never look across ASCII white space: its normalisers work on single
 characters and combining marks, and its split pattern leaves white space out of every piece. So the
-ids of a text are those of its words in turn, and a word met before need not be encoded again. A word is found by its
-hash and then compared byte by byte; one whose hash belongs to another word is encoded by itself.
+ids of a text are those of its words in turn. No piece of that pattern holds a Latin letter before an ASCII mark
+either, so words are cut there into units, and capitals that the normalisers would put in lower case alone
+are put so first. A unit met before need not be encoded again, be it a whole word, begin a sentence or stand before a comma. It is
+found by its hash and then compared byte by byte; one whose hash belongs to another unit is encoded by itself.
 ``tests/llm/test_tokens.py`` holds this against encoding whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -24,10 +27,39 @@ REMEMBERED = 250_000
 #: As many where nothing else needs the worker's memory: rare words come back after long stretches.
 REMEMBERED_ALONE = 1_000_000
 
-#: Words whose pieces are known without the tokenizer's own splitter: Latin letters, all of which
-#: the normalisers only put in lower case, then marks that form one piece.
-_MARKS = ".,!?;:"
-_PLAIN = f"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{_MARKS}]*$"
+#: Units that are one piece each, which the tokenizer's own splitter need not find: Latin letters, all of which
+#: the normalisers only put in lower case.
+_PLAIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
+
+_CAPITAL, _MARK, _LETTER = np.zeros((3, 256), bool)
+_CAPITAL[65:91] = True
+_MARK[33:127] = True
+_MARK[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: The first byte of À to ÿ; of their second bytes, those of × and ÷ are no letter's.
+_LATIN, _NO_LETTERS = 0xC3, (0x97, 0xB7)
+
+
+def units(data: np.ndarray, bounds: np.ndarray, added: re.Pattern | None = None) -> tuple[np.ndarray, Words]:
+    """The bytes of texts with ASCII capitals in lower case, and their words, cut before an ASCII mark that follows a
+    Latin letter. A capital before a character beyond U+00FF, which may combine with it, stays; so does
+    what ``added`` finds, whole."""
+    after = np.append(data[1:], np.uint8(0))
+    capital = _CAPITAL[data] & (after <= _LATIN)
+    marks = np.flatnonzero(_MARK[after[:-1]]) + 1
+    before = data[marks - 1]
+    letter = _LETTER[before]
+    latin = np.flatnonzero((before >= 0x80) & (before < 0xC0) & (marks > 1))
+    letter[latin] = (data[marks[latin] - 2] == _LATIN) & ~np.isin(before[latin], _NO_LETTERS)
+    apart = marks[letter]
+    if added is not None:
+        stays = np.zeros(len(data), bool)
+        for found in added.finditer(data):
+            capital[found.start() : found.end()] = False
+            stays[found.start() + 1 : found.end()] = True
+        apart = apart[~stays[apart]]
+    lower = data + capital.astype(np.uint8) * np.uint8(32)
+    return lower, Words(lower, bounds, apart=apart)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -118,6 +150,10 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.pieces = Tokenizer(self.model.model)  # without normalisers and splitter
+        added = (re.escape(t.content.encode()) for t in self.model.get_added_tokens_decoder().values())
+        names = b"|".join(sorted(added))
+        #: What the tokenizer looks for before all else, here in any case.
+        self.added = re.compile(names, re.IGNORECASE) if names else None
         self.remembered = remembered
         # new words go to a small memory, which joins the large one now and then
         self.old, self.new = Memory(), Memory()
@@ -185,39 +221,27 @@ class Encoder:
         letters = data[_spread(words.start[which], length)]
         texts = pa.LargeStringArray.from_buffers(len(which), pa.py_buffer(bounds), pa.py_buffer(letters))
         is_plain = pc.match_substring_regex(texts, _PLAIN)
-        plain = np.flatnonzero(is_plain.to_numpy(zero_copy_only=False))
-        other = np.flatnonzero(~is_plain.to_numpy(zero_copy_only=False))
-        plain_texts = texts.filter(is_plain)
-        stems = pc.utf8_rtrim(pc.utf8_lower(plain_texts), characters=_MARKS).dictionary_encode()
-        marks = pc.replace_substring_regex(plain_texts, f"^[^{_MARKS}]+", "").dictionary_encode()
-        # runs of ids: of the stem, of the marks behind it, of any other word
-        runs = []
+        plain = is_plain.to_numpy(zero_copy_only=False)
+        stems = pc.utf8_lower(texts.filter(is_plain)).to_numpy(zero_copy_only=False)
+        whole = texts.filter(pc.invert(is_plain)).to_numpy(zero_copy_only=False).tolist()
+        runs = (
+            (plain, self.pieces, [t if t.isascii() else _by_bytes(t) for t in stems.tolist()]),
+            (~plain, self.model, whole),
+        )
         size = np.zeros(len(which), np.int64)
-        for part in (stems, marks):
-            ids, n = _flat(
-                self.pieces.encode_batch_fast(
-                    [t if t.isascii() else _by_bytes(t) for t in part.dictionary.to_pylist()],
-                    add_special_tokens=False,
-                )
-            )
-            code = part.indices.to_numpy()
-            runs.append((plain, size[plain], ids, (np.cumsum(n) - n)[code], n[code]))
-            size[plain] += n[code]
-        whole = texts.take(pa.array(other)).to_pylist()
-        ids, n = _flat(self.model.encode_batch_fast(whole, add_special_tokens=False))
-        runs.append((other, size[other], ids, np.cumsum(n) - n, n))
-        size[other] += n
-        start = np.cumsum(size) - size
-        made = np.zeros(int(size.sum()), np.uint32)
-        for at, behind, ids, source, n in runs:
-            made[_spread(start[at] + behind, n)] = ids[_spread(source, n)]
-        return made, size
+        made = []
+        for own, model, strings in runs:
+            ids, size[own] = _flat(model.encode_batch_fast(strings, add_special_tokens=False))
+            made.append(ids)
+        out = np.zeros(int(size.sum()), np.uint32)
+        is_stem = np.repeat(plain, size)
+        out[is_stem], out[~is_stem] = made
+        return out, size
 
     def encode(self, column: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and where each text starts and ends. ``end`` is an id
         to put after each text."""
-        data, bounds = text_bytes(column)
-        words = Words(data, bounds)
+        data, words = units(*text_bytes(column), self.added)
         _, first, code = np.unique(words.hash, return_index=True, return_inverse=True)
         table, length = self._ids_of(words, data, first)
         unlike = np.flatnonzero(~words.same(np.arange(len(code)), first[code]))

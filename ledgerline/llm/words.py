@@ -32,9 +32,10 @@ BLOCK = 8
 
 
 class Words:
-    """``start``, ``end``: places in the bytes; ``doc``: the text; ``hash``: of the word."""
+    """``start``, ``end``: places in the bytes; ``doc``: the text; ``hash``: of the word. ``apart``: places
+    where a word begins anew, inside texts."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, fold: bool = False):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, fold: bool = False, apart: np.ndarray | None = None):
         self.n_docs = len(bounds) - 1
         if fold:
             data = _FOLD[data]
@@ -42,6 +43,8 @@ class Words:
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cuts = bounds[(bounds > 0) & (bounds < len(data))]
+        if apart is not None:
+            cuts = np.concatenate([cuts, apart])
         first[cuts] = inside[cuts]
         last = inside.copy()
         last[:-1] &= ~inside[1:]

@@ -85,6 +85,31 @@ def test_common_words_are_learned_once_beside_many_rare_ones(whole, monkeypatch)
     assert encoded(encoder, marked) == [whole(text) for text in marked]
 
 
+def test_a_word_is_learned_once_in_any_case_and_before_marks(whole, monkeypatch):
+    learned: list[int] = []
+    learn = tokens.Encoder._learn
+    monkeypatch.setattr(tokens.Encoder, "_learn", lambda self, words, data, which: (
+        learned.append(len(which)), learn(self, words, data, which))[1])
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    stems = [a + b for a in ("wyrd", "été", "naß", "zq") for b in ("am", "bel", "cor")]
+    texts = [" ".join(s + mark for s in stems) for mark in ("", ",", ".###", "!?")]
+    texts += [" ".join(s.title() for s in stems), " ".join(s.upper() for s in stems if s.isascii())]
+    for text in texts:
+        assert encoded(encoder, [text]) == [whole(text)]
+    assert sum(learned) == len(stems) + 3 + 3  # the marks, and été with a capital É
+
+
+def test_units_keep_what_the_tokenizer_sees_as_one(whole):
+    texts = [
+        "<|endoftext|>", "a<|endoftext|>B,<|startoftext|>", "x<|EndOfText|>y", "<|ENDOFTEXT|>", "<|endoftext| >", "|endoftext|",
+        "H\u0331 h\u0331 aH\u0331,", "e\u0301, E\u0301.", "I\u0307!", "a\u0338= a=\u0338", "don't I'LL x''s ?'s O'S.", "a×, a÷. ÿ, é× ß;",
+        "K, \u212a, \u212b. ſ;", "日, a日b. €, A€", "A", ",", "É", "a.B.c,D", "x_Y-z@W", "9a, a9. A9B,",
+    ]
+    encoder = tokens.Encoder(tokens.vocabulary_path())
+    for many in (texts, texts[::-1], [" ".join(texts)], *([t] for t in texts)):
+        assert encoded(encoder, many) == [whole(t) for t in many]
+
+
 def test_words_of_one_hash_keep_their_ids(whole, monkeypatch):
     monkeypatch.setattr(Words, "_hashes", lambda self: (self.length % 3).astype(np.uint64))
     encoder = tokens.Encoder(tokens.vocabulary_path())
