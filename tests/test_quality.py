@@ -1,6 +1,8 @@
 import pytest
 
 from conftest import TESTDATA, frame
+from ledgerline.operators import cuts
+from ledgerline.plans import staging as st, transactions as tr
 from ledgerline.quality import checks as ch, runner, suite
 from ledgerline.quality.runner import Check
 from ledgerline.sources.bridge import bridge
@@ -69,6 +71,55 @@ def test_runner_counts_like_the_checks_and_sets_status(pets, owners):
     assert results == {(c.name, c.severity): e for c, e in zip(listed, expected)}
 
 
+def test_a_table_is_scanned_once_under_all_its_names(pets, owners):
+    """For conditions, values and its number of rows, whatever a second name adds."""
+    pets, owners = cuts.cut(pets, "pets"), cuts.cut(owners, "owners")
+    each = [
+        ("unique", "id", {}, 1), ("not_null", "id", {}, 2), ("expression_is_true", "n", {"expression": "> 0"}, 2),
+        ("accepted_values", "kind", {"values": ["cat", "dog"]}, 1),
+        ("relationships", "owner", {"parent": "owners", "field": "name"}, 2),
+        ("equal_rowcount", None, {"other": "owners"}, 3), ("equal_rowcount", None, {"other": "animals"}, 0),
+    ]
+    listed = [Check(t, k, c, a) for t in ("pets", "animals") for k, c, a, _ in each]
+    found = runner.run_checks(listed, {"pets": pets, "animals": pets, "owners": owners})
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    counts = {(r.table, r.check): r.failures for r in found.collect()}
+    assert counts == {(c.table, c.name): n for c, (*_, n) in zip(listed, each * 2)}
+
+
+def test_more_conditions_than_bits_of_a_number(spark):
+    rows = spark.range(100).selectExpr("id", "nullif(id, 7) AS n")
+    listed = [Check("rows", "expression_is_true", "n", {"expression": f">= {i}"}) for i in range(70)]
+    listed += [Check("rows", "not_null", "n"), Check("rows", "equal_rowcount", arguments={"other": "none"})]
+    found = runner.run_checks(listed, {"rows": rows, "none": rows.where("id < 0")}).collect()
+    counts = {r.check: r.failures for r in found}
+    expected = [i - (i > 7) for i in range(70)] + [1, 100]
+    assert counts == {c.name: n for c, n in zip(listed, expected)}
+
+
+def test_the_suite_writes_no_row_that_only_checks_read(spark, monkeypatch):
+    """Neither the dense mart nor, for their numbers, the converted rows a second time."""
+    written = []
+
+    def wrapped(df, name, *rest, original=cuts.cut):
+        written.append(name)
+        return original(df, name, *rest)
+
+    for module in (suite, tr, suite.mo):
+        monkeypatch.setattr(module, "cut", wrapped)
+    inputs = bridge(spark, TESTDATA)
+    dates = spark.sql("SELECT explode(sequence(date'1995-01-01', date'2003-12-31')) AS date_day").selectExpr(
+        "date_day", "trunc(date_day, 'month') month_start_date", "last_day(date_day) month_end_date"
+    )
+    tables = suite.all_tables(inputs, dates)
+    assert {"converted", "contract-spend", "revenue", "monthly-activity"} <= set(written)
+    assert not {"monthly", "converted-rows"} & set(written)
+    assert tables["converted"].columns == tr.CONVERTED
+    clients = st.stage_transactions(inputs.transactions).select("client_id").distinct().count()
+    months = tables["monthly"].groupBy("month_start_date").count()
+    assert months.where(f"count != {clients}").isEmpty() and not months.isEmpty()
+
+
 def test_stored_failures_can_be_read_back(spark, pets, tmp_path):
     listed = [Check("pets", "unique", "id", store_failures=True), Check("pets", "not_null", "id")]
     for _ in range(2):  # a second run replaces the first
