@@ -245,3 +245,22 @@ def test_totals_before_the_first_activity_and_from_outside_the_months(spark):
     assert [found[None, m] for m in months] == [0, 0, 7, 0]
     assert [found["C002", m] for m in months] == [0, 0, 0, 0]
     assert len(found) == 12
+
+
+def test_each_month_of_a_transaction_once_in_generated_code(spark):
+    """Months may be equal or NULL in any place; without any, the transaction still shows its client."""
+    days = [
+        ("2024-01-10", "2024-01-31", "2024-02-01", "2024-02-02"), ("2024-03-01",) * 4, (None,) * 4,
+        (None, "2024-01-10", "2024-01-11", None), ("2024-02-01", None, "2024-01-01", "2024-02-03"),
+    ]
+    rows = [
+        {"client_id": f"C{i}", "transaction_date": t, "recognition_date": r, "spend_effective_date": e,
+         "resolution_date": u, "resolution_status": "resolved"}
+        for i, (t, r, e, u) in enumerate(days)
+    ]
+    activity = mo.monthly_activity(frame(spark, FACT, rows))
+    text = activity._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in text and "filter(array" not in text
+    found = sorted((r.client_id, str(r.month_start_date)[:7]) for r in activity.collect())
+    expected = {(f"C{i}", str(day)[:7]) for i, four in enumerate(days) for day in four if day}
+    assert found == sorted(expected | {("C2", "None")})

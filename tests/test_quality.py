@@ -83,6 +83,7 @@ def test_a_table_is_scanned_once_under_all_its_names(pets, owners):
     listed = [Check(t, k, c, a) for t in ("pets", "animals") for k, c, a, _ in each]
     found = runner.run_checks(listed, {"pets": pets, "animals": pets, "owners": owners})
     assert found._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert "binary)" in found._jdf.queryExecution().optimizedPlan().toString()  # no small table of keys before
     counts = {(r.table, r.check): r.failures for r in found.collect()}
     assert counts == {(c.table, c.name): n for c, (*_, n) in zip(listed, each * 2)}
 
