@@ -7,7 +7,7 @@ from ledgerline.operators import cuts
 from ledgerline.operators.cuts import cut, scratch_root
 from ledgerline.plans.monthly import client_monthly_revenue
 from ledgerline.sources import tables as so
-from ledgerline.sources.bridge import bridge
+from ledgerline.sources.bridge import ID_DIGITS, bridge, bridge_transactions
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -150,3 +150,17 @@ def test_a_failing_build_keeps_the_old_mart(spark, tmp_path):
     assert kept.count() == 5
     assert so.write_mart(kept.selectExpr("id * 2 id"), path).agg(F.sum("id")).first()[0] == 20  # from itself
     assert [p.name for p in tmp_path.iterdir()] == ["mart"]
+
+
+def test_an_order_without_customer_has_neither_client_nor_currency(spark, tmp_path):
+    orders = spark.sql(
+        "SELECT id AS o_orderkey, IF(id % 5 = 0, NULL, id) AS o_custkey, 1.5D AS o_totalprice,"
+        " timestamp'1996-05-01' AS o_orderdate FROM range(40)"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = bridge_transactions(spark, str(tmp_path)).where("linked_transaction_id IS NULL").collect()
+    assert len(found) == 40
+    missing = {f"T{3 * i:0{ID_DIGITS}}" for i in range(0, 40, 5)}
+    for column in ("client_id", "currency"):
+        assert {r.transaction_id for r in found if r[column] is None} == missing
+    assert {r.currency for r in found} == {None, "GBP", "USD", "EUR"}
